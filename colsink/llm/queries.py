@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from colsink.llm.mixing import op7_entropy_mix
 from colsink.llm.near_dup import op3_minmax_near_dup
+from colsink.llm.packing import op4_config_lp_packing
 from colsink.llm.pii import op9_checked_spans
 from colsink.llm.quality import OP2_SQL, op2_line_rules
 from colsink.llm.secret_scan import op8_parsed_secrets
 from colsink.llm.sharding import op5_hash_tree_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_line_rules, op3_minmax_near_dup, op5_hash_tree_shards, op7_entropy_mix, op8_parsed_secrets, op9_checked_spans)
+    f.__name__: f for f in (op2_line_rules, op3_minmax_near_dup, op4_config_lp_packing, op5_hash_tree_shards, op7_entropy_mix, op8_parsed_secrets, op9_checked_spans)
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_line_rules": OP2_SQL}
