@@ -13,9 +13,20 @@ from colsink.llm.pii import op9_checked_spans
 from colsink.llm.quality import OP2_SQL, op2_line_rules
 from colsink.llm.secret_scan import op8_parsed_secrets
 from colsink.llm.sharding import op5_hash_tree_shards
+from colsink.llm.token_files import op6_token_lists
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_line_rules, op3_minmax_near_dup, op4_config_lp_packing, op5_hash_tree_shards, op7_entropy_mix, op8_parsed_secrets, op9_checked_spans)
+    f.__name__: f
+    for f in (
+        op2_line_rules,
+        op3_minmax_near_dup,
+        op4_config_lp_packing,
+        op5_hash_tree_shards,
+        op6_token_lists,
+        op7_entropy_mix,
+        op8_parsed_secrets,
+        op9_checked_spans,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_line_rules": OP2_SQL}
