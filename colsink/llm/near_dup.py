@@ -9,23 +9,22 @@ How large groups are kept from making all pairs:
 
 * Documents with equal sets form a class; only its smallest id goes on.
 * Each bucket is first compared with one centre, the member that shares its buckets
-  with most others. Confirmed links merge what lies close to a centre.
-* Only pairs that are still in different components and share a bucket remain. They
-  are met in a join whose condition holds the other filters (set sizes, estimated
-  similarity from the whole signature, first shared band), so that a pair comes out
-  at most once and only where it may be a link.
+  with most others. Confirmed links merge what lies close to a centre, and every member
+  keeps how much it shares with the centre and which shingles the centre lacks.
+* Only pairs that are still in different components and share a bucket remain. Two
+  members share at most what the lesser of them shares with the centre, and what both
+  have beyond it. That exact bound, the sizes and the first shared band stand in the
+  join's condition, so a pair comes out at most once and only where it may be a link.
 
-At the similarities in use, a link shares no band with a chance of about 1 in 10^5 or
-less, and falls below the estimate's margin with about 1 in 10^4 or less.
+At the similarities in use, a link shares no band with a chance of about 1 in 10^5 or less.
 
-Defined cases: null or empty texts and texts without words have an empty set, stay
+Defined cases: a row with a null id has no component and is kept; null or empty texts and texts without words have an empty set, stay
 their own component and are kept. Repeated rows with one id and one text belong to one
 class. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,29 +35,24 @@ from pyspark.sql import functions as F
 
 from colsink.llm.common import Scratch, read_table
 from colsink.llm.shingles import shingle_sets
+from colsink.llm.tokenizing import small_batches
 
 _U32 = np.uint32
 
 
 @dataclass(frozen=True)
 class NearDup:
-    """``percent``: least similarity; bands of ``rows`` values come first in the signature."""
+    """``percent``: least similarity; ``bands`` of ``rows`` signature values each."""
 
     width: int = 5
     percent: int = 80
-    perms: int = 64
     bands: int = 24
     rows: int = 4
 
     @property
-    def values(self) -> int:
-        return 2 * self.perms
-
-    @property
-    def least_equal(self) -> int:
-        """Equal signature values that a candidate must have: four deviations below the expected number."""
-        s = self.percent / 100
-        return math.floor(self.values * s - 4 * math.sqrt(self.values * s * (1 - s)))
+    def perms(self) -> int:
+        """Each permutation gives two values."""
+        return -(-self.bands * self.rows // 2)
 
     def linked(self, shared: int, a: int, b: int) -> bool:
         return 100 * shared >= self.percent * (a + b - shared)
@@ -99,7 +93,7 @@ def band_keys(sig: np.ndarray, how: NearDup) -> np.ndarray:
 
 
 def signed(docs: DataFrame, how: NearDup, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n, s1, s2, keys, sig): set size, a 128-bit name of the set, band keys and signature."""
+    """(id, n, s1, s2, keys): set size, a 128-bit name of the set and the band keys of its signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,13 +102,12 @@ def signed(docs: DataFrame, how: NearDup, key: str = "doc_id", text: str = "text
                 full = sizes > 0
                 n = len(sizes)
                 s1, s2 = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-                sig, keys = np.zeros((n, how.values), _U32), np.zeros((n, how.bands), np.uint64)
+                keys = np.zeros((n, how.bands), np.uint64)
                 if full.any():
                     starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
                     s1[full] = np.add.reduceat(hashes * (hashes | np.uint64(1)), starts)
                     s2[full] = np.bitwise_xor.reduceat(hashes * np.uint64(0xD6E8FEB86659FD93) ^ hashes >> np.uint64(31), starts)
-                    sig[full] = signatures(hashes, sizes[full], how.perms)
-                    keys[full] = band_keys(sig[full], how)
+                    keys[full] = band_keys(signatures(hashes, sizes[full], how.perms), how)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(at, n),
@@ -122,51 +115,58 @@ def signed(docs: DataFrame, how: NearDup, key: str = "doc_id", text: str = "text
                         pa.array(s1.view(np.int64)),
                         pa.array(s2.view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * how.bands), pa.array(keys.view(np.int64).ravel())),
-                        pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * how.values), pa.array(sig.view(np.int32).ravel())),
                     ],
-                    names=["id", "n", "s1", "s2", "keys", "sig"],
+                    names=["id", "n", "s1", "s2", "keys"],
                 )
 
     narrow = docs.select(docs[key].cast("long").alias("id"), docs[text].cast("string").alias("text"))
-    return narrow.mapInArrow(run, "id long, n long, s1 long, s2 long, keys array<long>, sig array<int>")
-
-
-def may_link(a: str, b: str, how: NearDup) -> Column:
-    """Set sizes and the signatures' agreement allow a link."""
+    return narrow.mapInArrow(run, "id long, n long, s1 long, s2 long, keys array<long>")
 
-    def c(side: str, name: str) -> Column:
-        return F.col(f"{side}.{name}")
 
-    sizes = F.least(c(a, "n"), c(b, "n")) * 100 >= F.greatest(c(a, "n"), c(b, "n")) * how.percent
-    equal = F.size(F.filter(F.zip_with(c(a, "sig"), c(b, "sig"), lambda x, y: x == y), lambda e: e))
-    return sizes & (equal >= how.least_equal)
-
-
-def confirmed(pairs: DataFrame, texts: DataFrame, how: NearDup) -> DataFrame:
-    """Those (a, b) of ``pairs`` whose full shingle sets are similar enough; ``texts`` is (id, t).
+def compared(pairs: DataFrame, texts: DataFrame, how: NearDup) -> DataFrame:
+    """(a, b, shared, linked, extra) of ``pairs`` (a, b) by their full shingle sets; ``texts`` is (id, t).
 
+    ``extra`` has the shingles of a that b lacks, where they are less than half of a's.
     Texts travel to pairs, never pairs to a driver; ``b`` is the side that repeats, so
     its text is joined last and not shuffled again.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[int | None, np.ndarray] = (None, np.empty(0, np.uint64))
+        last: tuple[int | None, str | None] = (None, None)
+        right = np.empty(0, np.uint64)
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            b, tb = batch.column("b").to_pylist(), batch.column("tb")
             left: list[np.ndarray] = []
             for _, hashes, sizes in shingle_sets(batch.column("ta"), how.width):
                 left += np.split(hashes, np.cumsum(sizes)[:-1])
-            tb, keep = batch.column("tb"), []
-            for i in range(len(a)):
-                if last[0] != b[i]:
-                    last = (b[i], next(shingle_sets(tb.slice(i, 1), how.width))[1])
-                shared = len(np.intersect1d(left[i], last[1], assume_unique=True))
-                keep.append(how.linked(shared, len(left[i]), len(last[1])))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
+            shared, linked, extra = [], [], []
+            for i, mine in enumerate(left):
+                now = b[i], tb[i].as_py()
+                if last != now:
+                    last, right = now, next(shingle_sets(tb.slice(i, 1), how.width))[1]
+                at = np.minimum(np.searchsorted(right, mine), len(right) - 1)
+                both = right[at] == mine
+                n = int(both.sum())
+                shared.append(n)
+                linked.append(how.linked(n, len(mine), len(right)))
+                extra.append(mine[~both].view(np.int64) if 2 * n > len(mine) else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(shared, pa.int64()), pa.array(linked, pa.bool_()), pa.array(extra, pa.list_(pa.int64()))],
+                names=["a", "b", "shared", "linked", "extra"],
+            )
 
     both = pairs.join(texts.withColumnsRenamed({"id": "a", "t": "ta"}), "a").join(texts.withColumnsRenamed({"id": "b", "t": "tb"}), "b")
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
+    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, shared long, linked boolean, extra array<long>")
+
+
+def may_link(how: NearDup) -> Column:
+    """Sizes, and what both share with the bucket's centre, allow r and m a link."""
+    n, k = F.col("r.n"), F.col("m.n")
+    beyond = F.size(F.array_intersect("r.extra", "m.extra"))
+    most = F.least(F.col("r.shared"), F.col("m.shared")) + beyond
+    known = F.col("r.extra").isNotNull() & F.col("m.extra").isNotNull()
+    most = F.when(known, F.least(most, n, k)).otherwise(F.least(n, k))
+    return (F.least(n, k) * 100 >= F.greatest(n, k) * how.percent) & (most * 100 >= (n + k - most) * how.percent)
 
 
 def components(links: DataFrame, scratch: Scratch, label: str) -> DataFrame:
@@ -200,45 +200,48 @@ def near_dup(docs: DataFrame, how: NearDup = NearDup(), key: str = "doc_id", tex
     smallest of their classes, those classes share a component.
     """
     spark = docs.sparkSession
+    small_batches(docs)
     scratch = Scratch(spark, "near-dup")
     every = scratch.keep(signed(docs, how, key, text), "signed")
 
     # classes of equal sets; what a class keeps besides its id is the same for all its rows
-    named = every.where("n > 0").groupBy("s1", "s2").agg(F.min("id").alias("id"), F.first(F.struct("n", "keys", "sig")).alias("x"))
-    classes = scratch.keep(named.select("s1", "s2", "id", "x.n", "x.keys", "x.sig"), "classes")
+    named = every.where("n > 0").groupBy("s1", "s2").agg(F.min("id").alias("id"), F.first(F.struct("n", "keys")).alias("x"))
+    classes = scratch.keep(named.select("s1", "s2", "id", "x.n", "x.keys"), "classes")
 
     # buckets with two classes or more
     members = classes.select("id", F.posexplode("keys").alias("band", "key"))
     counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("in_bucket")).where("in_bucket > 1")
     shared = scratch.keep(members.join(counts, "key"), "shared")
     mates = shared.groupBy("id").agg(F.sum("in_bucket").alias("mates"))
-    near = scratch.keep(classes.select("id", "n", "keys", "sig").join(mates, "id"), "near")
+    near = scratch.keep(classes.select("id", "n", "keys").join(mates, "id"), "near")
     texts = docs.select(docs[key].cast("long").alias("id"), docs[text].cast("string").alias("t"))
     texts = scratch.keep(texts.join(near.select("id"), "id", "left_semi").distinct(), "texts")
 
     # first against a centre
     rank = F.struct("mates", (-F.col("id")).alias("least"))
-    centres = shared.join(mates, "id").groupBy("key").agg((-F.max(rank)["least"]).alias("b"))
+    centres = scratch.keep(shared.join(near.select("id", "mates"), "id").groupBy("key").agg((-F.max(rank)["least"]).alias("b")), "centres")
     first = shared.join(centres, "key").where("id != b").select(F.col("id").alias("a"), "b").distinct()
-    side = near.select("id", "n", "sig")
-    first = first.join(side.alias("p"), F.col("a") == F.col("p.id")).join(side.alias("q"), (F.col("b") == F.col("q.id")) & may_link("p", "q", how))
-    links = scratch.keep(confirmed(first.select("a", "b"), texts, how), "links-1")
+    first = scratch.keep(compared(first, texts, how), "first")
+    links = first.where("linked").select("a", "b")
     labels = components(links, scratch, "first")
 
     # then what is still apart within a bucket
-    tagged = shared.join(labels, "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("c"))
-    tagged = scratch.keep(tagged, "tagged")
+    tagged = scratch.keep(shared.join(labels, "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("c")), "tagged")
     sizes = tagged.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"))
     parted = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("k", "c"))["c"].alias("major")).where("parts > 1").select("key", "major")
-    full = tagged.join(parted, "key").join(near.drop("mates"), "id")
-    full = scratch.keep(full, "apart")
-    r, m = full.where("c != major").alias("r"), full.alias("m")
+    apart = tagged.join(parted, "key").join(centres, "key").join(near.select("id", "n", "keys"), "id")
+    met = first.select(F.col("a").alias("id"), "b", F.col("shared").alias("s"), F.col("extra").alias("e"))
+    own = F.col("id") == F.col("b")
+    none = F.array().cast("array<bigint>")
+    apart = apart.join(met, ["id", "b"], "left").withColumns({"shared": F.when(own, F.col("n")).otherwise(F.col("s")), "extra": F.when(own, none).otherwise(F.col("e"))})
+    apart = scratch.keep(apart.drop("s", "e", "b"), "apart")
+    r, m = apart.where("c != major").alias("r"), apart.alias("m")
     before = F.col("r.band")  # bands count from 0: as many bands come before
     unseen = ~F.arrays_overlap(F.slice("r.keys", F.lit(1), before), F.slice("m.keys", F.lit(1), before))
     once = (F.col("m.c") == F.col("m.major")) | (F.col("r.id") < F.col("m.id"))
-    on = (F.col("r.key") == F.col("m.key")) & (F.col("r.c") != F.col("m.c")) & once & unseen & may_link("r", "m", how)
+    on = (F.col("r.key") == F.col("m.key")) & (F.col("r.c") != F.col("m.c")) & once & may_link(how) & unseen
     rest = r.join(m, on).select(F.col("r.id").alias("a"), F.col("m.id").alias("b"))
-    more = scratch.keep(confirmed(rest, texts, how), "links-2")
+    more = scratch.keep(compared(rest, texts, how).where("linked").select("a", "b"), "rest")
     if not more.isEmpty():
         labels = components(links.union(more), scratch, "all")
 
@@ -253,4 +256,4 @@ def op3_minmax_near_dup(spark, sf_dir: str) -> DataFrame:
     """Components of all ``documents`` at 85% of three-word shingles."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     out = near_dup(docs, NearDup(width=3, percent=85))
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -41,7 +41,7 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
-def blocks(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def blocks(texts: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, row offsets) of runs of rows of about ``most`` bytes; a row is never split."""
     texts = texts.cast(pa.large_string()).fill_null("")
     if not len(texts):
@@ -66,12 +66,14 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     edges = edges[edges < len(data)]
     first[edges] = inside[edges]  # a row's first byte starts a word whatever stands before
     starts = np.flatnonzero(first)
-    place = np.arange(len(data), dtype=np.int64)
-    place -= np.maximum.accumulate(np.where(first, place, 0))
-    weighed = _BYTE[data]
-    weighed *= _powers(int(place[inside].max()) + 1)[np.where(inside, place, 0)]
-    weighed[~inside] = 0
-    hashes = _mixed(np.add.reduceat(weighed, starts))
+    # white space weighs nothing; its places are not looked up
+    at = np.flatnonzero(inside)
+    lengths = np.diff(np.searchsorted(at, np.append(starts, len(data))))
+    begins = np.cumsum(lengths) - lengths
+    place = np.arange(len(at), dtype=np.int64) - np.repeat(begins, lengths)
+    weighed = _BYTE[data[at]]
+    weighed *= _powers(int(lengths.max()))[place]
+    hashes = _mixed(np.add.reduceat(weighed, begins))
     counts = np.diff(np.searchsorted(starts, offsets))
     return hashes, counts
 
