@@ -150,9 +150,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     targets = source_targets(docs, source, size, weights, share, most)
     made = copies(docs, targets, key, source, size, most)
     given = F.broadcast(targets.select(never_null(F.col("source")).alias("_s"), "source_size", "target"))
-    tagged = docs.withColumns({"_k": never_null(docs[key]), "_s": never_null(docs[source]), "_n": docs[size].cast("long")})
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # so that no column's name clashes
+    tagged = docs.select(row.alias("_row"), never_null(docs[key]).alias("_k"), never_null(docs[source]).alias("_s"), docs[size].cast("long").alias("_n"))
     out = tagged.join(made, ["_k", "_s", "_n"], "left").join(given, "_s", "left")
-    return out.select(*docs.columns, "source_size", "target", F.coalesce("copies", F.lit(0)).alias("copies"))
+    added = [c for c in ("source_size", "target") if c not in docs.columns]
+    kept = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c != "copies"]
+    return out.select(*kept, *added, F.coalesce("copies", F.lit(0)).alias("copies"))
 
 
 def op7_entropy_mix(spark, sf_dir: str) -> DataFrame:

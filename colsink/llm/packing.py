@@ -217,9 +217,11 @@ def pack(pieces: DataFrame, key: list[str], length: str = "length", capacity: in
     histogram = {int(r[0]): int(r[1]) for r in pieces.groupBy(length).count().collect()}
     index = placement_index(pack_histogram(histogram, capacity))
     held = spark.sparkContext.broadcast(index)  # bounded: it follows the lengths, not the rows
-    names = [f.name for f in pieces.schema]
-    order = [F.col(k).asc_nulls_first() for k in key]
-    ranked = global_rank(pieces, [length], order, F.struct(*key))
+    row = F.struct(*[F.col(f"`{c}`") for c in pieces.columns]).alias("_row")  # so that no column's name clashes
+    by = [F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(key)]
+    order = [F.col(f"_k{i}") for i in range(len(key))]
+    narrow = pieces.select(row, F.col(f"`{length}`").cast("long").alias("_length"), *by)
+    ranked = global_rank(narrow, ["_length"], [k.asc_nulls_first() for k in order], F.struct(*order)).select("_row", "_length", "rank")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = held.value
@@ -227,12 +229,13 @@ def pack(pieces: DataFrame, key: list[str], length: str = "length", capacity: in
         keys = runs["length"] * span + runs["first"]
         for batch in batches:
             rank = batch.column("rank").to_numpy()
-            at = np.searchsorted(keys, batch.column(length).to_numpy().astype(np.int64) * span + rank, side="right") - 1
+            at = np.searchsorted(keys, batch.column("_length").to_numpy() * span + rank, side="right") - 1
             sequence = runs["sequence"][at] + rank - runs["first"][at]
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(sequence), pa.array(runs["offset"][at])], names=[*names, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(sequence), pa.array(runs["offset"][at])], names=["_row", "sequence_id", "offset"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return ranked.mapInArrow(place, f"{schema}, sequence_id long, offset long")
+    kinds = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in pieces.schema)
+    placed = ranked.mapInArrow(place, f"_row struct<{kinds}>, sequence_id long, offset long")
+    return placed.select(*[F.col(f"_row.`{c}`").alias(c) for c in pieces.columns if c not in ("sequence_id", "offset")], "sequence_id", "offset")
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text") -> DataFrame:

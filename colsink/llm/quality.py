@@ -76,17 +76,20 @@ def _repeat_words(hashes: Column, size: int) -> Column:
     return F.when(repeated, _let(placed, of_sorted)).otherwise(F.lit(0)).cast("long")
 
 
+ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lines", "n_lines_removed", "lost_chars", "kept", "clean_text")
+
+
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with counts, verdict and cleaned text.
 
-    Columns added: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, n_lines, n_lines_removed, lost_chars, kept, clean_text. A null text
+    The columns of ``ADDED`` are added, in place of any that had their names. A null text
     counts as empty: no words, base_failed, not kept, clean_text empty. Each row is
     judged by itself, so repeated rows agree; an empty table stays empty.
     """
-    names = docs.columns
-    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    one = docs.select(*names, t.alias("_t"), F.split(t, "\n").alias("_lines"), F.transform(F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w)).alias("_words"))
+    names = ["_row"]  # the columns as they came, so that none clashes with those made here
+    t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    one = docs.select(row, t.alias("_t"), F.split(t, "\n").alias("_lines"), F.transform(F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w)).alias("_words"))
     windows = F.transform(F.sequence(F.lit(0), F.size("_words") - WINDOW), lambda i: F.xxhash64(*[F.get("_words", i + k) for k in range(WINDOW)]))
     windows = F.when(F.size("_words") > WINDOW, windows).otherwise(F.array().cast("array<bigint>"))
     two = one.select(*names, "_t", "_lines", F.size("_words").cast("long").alias("n_words"), windows.alias("_windows"), F.filter("_lines", lambda x: ~is_boilerplate(x)).alias("_own"))
@@ -110,13 +113,18 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     four = three.withColumns({"base_failed": failed, "lost_chars": lost.cast("long")})
     left = F.col("_chars") > F.col("lost_chars")
     kept = ~F.col("base_failed") & left & (100 * F.col("lost_chars") <= MOST_LOST * F.col("_chars"))
-    return four.withColumn("kept", kept).drop("_chars", "_n_kept")
+    given = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in ADDED]
+    return four.withColumn("kept", kept).select(*given, *ADDED)
 
 
 def clean(docs: DataFrame, text: str = "text") -> DataFrame:
     """Documents that pass, with their failing lines removed; columns as they were."""
-    out = measured(docs, text).where("kept").withColumn(text, F.col("clean_text"))
-    return out.select(*docs.columns)
+    # the row number keeps the optimizer from pushing the filter below the counts, where
+    # it would repeat them inside each other
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_given")
+    out = measured(docs.select(row, F.col(f"`{text}`").alias("_text")), "_text").withColumn("_at", F.monotonically_increasing_id())
+    out = out.where(F.col("kept") & (F.col("_at") >= 0))
+    return out.select(*[(F.col("clean_text") if c == text else F.col(f"_given.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op2_line_rules(spark, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from colsink.llm.byte_cnn import op10_byte_cnn
 from colsink.llm.mixing import op7_entropy_mix
 from colsink.llm.near_dup import op3_minmax_near_dup
 from colsink.llm.packing import op4_config_lp_packing
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_entropy_mix,
         op8_parsed_secrets,
         op9_checked_spans,
+        op10_byte_cnn,
     )
 }
 
