@@ -1,15 +1,16 @@
 """Token ids of whole texts with a public tokenizer, a cache of pieces in front of it.
 
-A text is cut where no token can cross: before a space or line feed that stands alone
-between other characters. In both vocabularies the pre-tokenizer never joins such a
-character to what stands before it, so the pieces' ids one after another are the
-text's ids. Pieces repeat and are encoded once per worker while its cache has room. Texts with
-other runs of white space, or with the separator itself, are encoded whole.
+A text is cut where no token can cross, so that the pieces' ids one after another are
+the text's ids. A vocabulary with word ends drops white space: its pieces are the words,
+in lower case where the text is ASCII. In a byte-level vocabulary a piece begins before
+a space or line feed that stands alone between other characters, as the pre-tokenizer
+never joins such a character to what stands before it. Pieces repeat and are encoded
+once per worker while its cache has room; any text with other white space or control
+characters that could break these rules is encoded whole.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
 from collections.abc import Iterator, Sequence
@@ -24,7 +25,11 @@ WORD_BPE = "word_bpe_49k.json"
 END_ID = 0
 
 _CUT = "\x00"
-_UNSAFE = re.compile(r"[ \n]\s|\s[ \n]|\x00")
+#: What Python's split takes for white space and the tokenizers don't.
+_NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
+#: White space beside a space or line feed, all other white space, and the mark of cuts.
+_RUNS = ("  ", " \n", "\n ", "\n\n", _CUT, "\t", "\r", "\x0b", "\x0c", *_NOT_SPACE)
+_WIDE = ("\x85", "\xa0", "\u1680", *map(chr, range(0x2000, 0x200B)), "\u2028", "\u2029", "\u202f", "\u205f", "\u3000")
 
 
 class Encoder:
@@ -35,14 +40,15 @@ class Encoder:
     a letter is a token of its own in both vocabularies, so it is split off first.
     """
 
-    def __init__(self, path: str, most_pieces: int = 600_000, longest: int = 48):
+    def __init__(self, path: str, most_pieces: int = 900_000, longest: int = 48):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.most_pieces, self.longest = most_pieces, longest
         # a vocabulary with word ends needs white space beside the mark
-        self.between = " \x01 " if any(x.endswith("</w>") for x in self.tokenizer.get_vocab()) else "\x01"
+        self.words = any(x.endswith("</w>") for x in self.tokenizer.get_vocab())
+        self.between = " \x01 " if self.words else "\x01"
         mark = self.tokenizer.encode("\x01", add_special_tokens=False).ids
         apart = sum("\u0101" in x for x in self.tokenizer.get_vocab()) <= 2  # the mark's byte occurs in no longer token
         self.mark = mark[0] if len(mark) == 1 and apart else None
@@ -68,15 +74,24 @@ class Encoder:
                 first = end + 4
         return out
 
+    def _cut(self, t: str) -> list[str] | None:
+        """The pieces of a text, or None where it must be encoded whole."""
+        ascii_only = t.isascii()
+        if self.words:
+            return None if any(c in t for c in _NOT_SPACE) else (t.lower() if ascii_only else t).split()
+        if any(c in t for c in _RUNS) or not ascii_only and any(c in t for c in _WIDE):
+            return None
+        return t.replace(" ", "\x00 ").replace("\n", "\x00\n").split(_CUT)
+
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         cache = self.cache
         cut, unsafe, missing = [], {}, set()
         for i, t in enumerate(texts):
-            if _UNSAFE.search(t):
+            pieces = self._cut(t)
+            if pieces is None:
                 unsafe[i] = t
                 cut.append(())
                 continue
-            pieces = t.replace(" ", "\x00 ").replace("\n", "\x00\n").split(_CUT)
             cut.append(pieces)
             missing.update(set(pieces).difference(cache))
         stems = {p: p[:-1] for p in missing if len(p) > 2 and p[-1] in ",." and p[-2].isalpha()}
