@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from colsink.llm.byte_cnn import op10_byte_cnn
+from colsink.llm.image_copies import op1_image_copies
 from colsink.llm.mixing import op7_entropy_mix
 from colsink.llm.near_dup import op3_minmax_near_dup
 from colsink.llm.packing import op4_config_lp_packing
@@ -19,6 +20,7 @@ from colsink.llm.token_files import op6_token_lists
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_image_copies,
         op2_line_rules,
         op3_minmax_near_dup,
         op4_config_lp_packing,
