@@ -149,9 +149,9 @@ def _le(sql: str, size: int) -> str:
     return f"CASE WHEN ({sql}) IS NULL THEN '{'00' * (size - 1)}80' ELSE {pairs} END"
 
 
-def _int_hex(bits: int, expr: str, value: Column) -> None:
+def _int_hex(bits: int, expr: str) -> None:
     def f(spark, d):
-        df = table(spark, d, "orders").select("o_orderkey", value.alias("v"))
+        df = table(spark, d, "orders").select("o_orderkey", F.expr(expr).alias("v"))
         stored = df.select("o_orderkey", checked(df, "v", {8: "TINYINT", 16: "SMALLINT", 32: "INTEGER", 64: "BIGINT"}[bits]))
         return stored.select("o_orderkey", wire_hex.little_endian(F.col("x"), bits // 8).alias("hex"))
 
@@ -161,10 +161,10 @@ def _int_hex(bits: int, expr: str, value: Column) -> None:
     ORACLE_SQL[f"wire_int{bits}_hex"] = f"SELECT o_orderkey, {_le(inside, bits // 8)} AS hex FROM orders"
 
 
-_int_hex(8, "(o_orderkey % 300 - 150)", F.col("o_orderkey") % 300 - 150)
-_int_hex(16, "(o_orderkey * 7 - 40000)", F.col("o_orderkey") * 7 - 40000)
-_int_hex(32, "(o_orderkey * 1000003 - 5000000000)", F.col("o_orderkey") * 1000003 - 5000000000)
-_int_hex(64, "(o_orderkey * 100000000003 - 700000000000000)", F.col("o_orderkey") * 100000000003 - 700000000000000)
+_int_hex(8, "(o_orderkey % 300 - 150)")
+_int_hex(16, "(o_orderkey * 7 - 40000)")
+_int_hex(32, "(o_orderkey * 1000003 - 5000000000)")
+_int_hex(64, "(o_orderkey * 100000000003 - 700000000000000)")
 
 _DATE_SQL = "{day} || {month} || {year}".format(day=_le("day({0})", 1), month=_le("month({0})", 1), year=_le("year({0})", 2))
 

@@ -51,7 +51,7 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
 
 
 def _write(store: fs.FileSystem, path: str, data: bytes) -> None:
-    with store.open_output_stream(path) as out:
+    with store.open_output_stream(path, compression=None) as out:
         out.write(data)
 
 
@@ -149,6 +149,7 @@ class ColumnFileWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list[TaskDone | None]) -> None:
         store, root = _open(self.options.path)
+        store.create_dir(root)  # a write without rows has made none
         before = None if self.overwrite else read_manifest(self.options.path)
         held = before or {"batches": [], "metrics": {}}
         taken = {b["folder"].split("/")[0] for b in held["batches"]}
@@ -196,7 +197,7 @@ class _OpenBatch:
         self.store, self.folder, self.columns, self.options, self.rows = store, folder, columns, options, 0
         store.create_dir(folder)
         self.names = [scripts.file_name(i, c.name, options.compression.suffix) for i, c in enumerate(columns)]
-        self.streams = [store.open_output_stream(f"{folder}/{n}") for n in self.names]
+        self.streams = [store.open_output_stream(f"{folder}/{n}", compression=None) for n in self.names]
         self.encoders = [backref.Encoder(options.backrefs) if c.kind in STRINGS and options.backrefs >= 0 else None for c in columns]
 
     def add(self, records: pa.RecordBatch) -> None:
@@ -244,7 +245,7 @@ class ColumnFileReader(DataSourceReader):
             if f.name not in at:
                 columns.append(pa.nulls(batch.rows, wire.arrow_type(target)))
                 continue
-            with store.open_input_stream(f"{root}/{batch.folder}/{batch.files[at[f.name]]}") as s:
+            with store.open_input_stream(f"{root}/{batch.folder}/{batch.files[at[f.name]]}", compression=None) as s:
                 data = s.read()
             data = unframed(data) if batch.lz4 else data
             if target.kind in STRINGS and batch.backrefs:

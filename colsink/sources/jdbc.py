@@ -33,8 +33,9 @@ class Store:
         return self.types.get(made, made)
 
 
-#: The embedded engine that comes with Spark. It has no zoned timestamps.
-DERBY = Store(("jdbc:derby:",), "org.apache.derby.iapi.jdbc.AutoloadedDriver", {"TIMESTAMP WITH TIME ZONE": "TIMESTAMP"}, cascades=False)
+#: The embedded engine that comes with Spark. It has no zoned timestamps; limits and offsets
+#: are left to Spark, as what is pushed down to it loses the limit.
+DERBY = Store(("jdbc:derby:",), "org.apache.derby.iapi.jdbc.AutoloadedDriver", {"TIMESTAMP WITH TIME ZONE": "TIMESTAMP"}, limit=False, offset=False)
 #: Any other server: standard types.
 STANDARD = Store(("jdbc:",))
 STORES: list[Store] = [DERBY, STANDARD]
@@ -88,9 +89,10 @@ def catalog(spark: SparkSession, name: str, url: str) -> None:
     """Make a server's tables known to SQL as ``name.schema.table``."""
     base = f"spark.sql.catalog.{name}"
     spark.conf.set(base, "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog")
-    spark.conf.set(f"{base}.url", url)
-    if driver := store_of(url).driver:
-        spark.conf.set(f"{base}.driver", driver)
+    store = store_of(url)
+    options = {"url": url, "pushDownLimit": store.limit, "pushDownOffset": store.offset} | ({"driver": store.driver} if store.driver else {})
+    for option, value in options.items():
+        spark.conf.set(f"{base}.{option}", str(value).lower() if isinstance(value, bool) else value)
 
 
 def column_types(schema: T.StructType, url: str) -> str:

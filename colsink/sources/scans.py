@@ -32,7 +32,7 @@ def stride(value: Column, lower: int, upper: int, parts: int) -> Column:
         raise ValueError("a stride needs an upper bound above the lower and a part")
     width = max(1, (upper - lower) // parts)
     at = F.floor((value - F.lit(lower)) / F.lit(width))
-    return F.coalesce(F.greatest(F.lit(0), F.least(F.lit(parts - 1), at)), F.lit(0)).cast("int")
+    return F.when(value.isNull(), F.lit(0)).otherwise(F.greatest(F.lit(0), F.least(F.lit(parts - 1), at))).cast("int")
 
 
 def in_strides(df: DataFrame, column: str, lower: int, upper: int, parts: int) -> DataFrame:
