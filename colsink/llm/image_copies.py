@@ -2,15 +2,16 @@
 
 Features: corners (the Harris response, largest within a radius) at scales a factor of
 two apart; a corner's orientation is the direction of its patch's intensity centroid;
-256 binary tests between smoothed pixels, turned by that orientation, make a descriptor.
+128 binary tests between smoothed pixels, turned by that orientation, make a descriptor.
 
 Candidates: descriptors are cut into words, and equal words meet in a hash table, one for
 each place. Within a table's bucket each image is paired with one centre only, the
 smallest id, so a word that many images have gives one pair an image. Images that are
-equal bit for bit are one class and go on once.
+equal bit for bit are linked with the smallest id among them without a look at corners.
 
-Confirmation: descriptors of a pair are matched by Hamming distance, each match proposes a
-scale, a turn and a shift, and matches that agree in them are counted. An edit may shift
+Confirmation: corners of a pair are matched by the same tables, equal words in the order
+they stand, and kept by Hamming distance; each match proposes a scale, a turn and a
+shift, and matches that agree in them are counted. An edit may shift
 what follows it, so shifts of the same scale and turn may add up. A pair is linked where
 enough of the smaller image's corners agree. Linked images form components.
 
@@ -36,19 +37,18 @@ from colsink.llm.near_dup import components
 from colsink.llm.tokenizing import small_batches
 
 RADIUS = 7  # of a patch
-TURNS = 30
-BITS = 256
+TURNS = 36  # a quarter turn is a whole number of them
+BITS = 128
 
 
 @dataclass(frozen=True)
 class Copies:
-    """``apart``: radius within which a corner is the strongest; ``words``: tables of the join."""
+    """``apart``: radius within which a corner is the strongest; ``most_bits``: of a match's difference."""
 
     scales: int = 3
-    apart: int = 4
-    words: int = 4
+    apart: int = 5
     least_votes: int = 2
-    most_bits: int = 32
+    most_bits: int = 16
     shift: int = 12
     least_agreeing: int = 6
     least_share: float = 0.3
@@ -60,7 +60,7 @@ def to_pgm(pixels: np.ndarray) -> bytes:
     return b"P5 %d %d 255\n" % (w, h) + np.ascontiguousarray(pixels, np.uint8).tobytes()
 
 
-_PGM = re.compile(rb"P5(?:\s+#[^\n]*\n)*\s+(\d+)\s+(\d+)\s+(\d+)\s")
+_PGM = re.compile(rb"P5(?:\s+#[^\n]*)*\s+(\d+)\s+(\d+)\s+(\d+)\s")
 
 
 def from_pgm(data: bytes | None) -> np.ndarray | None:
@@ -149,7 +149,7 @@ def _corners(stack: np.ndarray, live: np.ndarray, how: Copies) -> tuple[np.ndarr
 
 @dataclass
 class Features:
-    """An image's corners: place in full-size pixels, scale, turn and four 64-bit words each."""
+    """An image's corners: place in full-size pixels, scale, turn and descriptor words."""
 
     y: np.ndarray
     x: np.ndarray
@@ -197,17 +197,30 @@ def features(images: list[np.ndarray | None], how: Copies) -> list[Features]:
     return [Features(*(np.concatenate(c) for c in zip(*f))) if f else Features(*none) for f in out]
 
 
+def _in_order(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of equal values: the k-th of a value in ``a`` with its k-th in ``b``, so repeats make no product."""
+    both = np.concatenate([a, b])
+    order = np.argsort(both, kind="stable")
+    first = np.ones(len(both), bool)
+    first[1:] = both[order[1:]] != both[order[:-1]]
+    starts = np.flatnonzero(first)
+    sizes = np.diff(np.append(starts, len(both)))
+    mine = np.add.reduceat((order < len(a)).astype(np.int64), starts)
+    each = np.minimum(mine, sizes - mine)
+    left = np.repeat(starts, each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+    return order[left], order[left + np.repeat(mine, each)] - len(a)
+
+
 def agreeing(a: Features, b: Features, how: Copies) -> int:
     """Corners of ``a`` whose best matches in ``b`` agree on scale, turn and shift."""
     if not len(a.y) or not len(b.y):
         return 0
     best, bits = np.zeros(len(a.y), np.int64), np.full(len(a.y), BITS + 1)
-    for s in range(0, len(b.y), 2048):  # long images in blocks
-        apart = np.bitwise_count(a.words[:, None] ^ b.words[None, s : s + 2048]).sum(axis=2, dtype=np.int64)
-        k = apart.argmin(axis=1)
-        d = apart[np.arange(len(k)), k]
-        nearer = d < bits
-        best[nearer], bits[nearer] = k[nearer] + s, d[nearer]
+    for w in range(BITS // 64):
+        i, j = _in_order(a.words[:, w], b.words[:, w])
+        d = np.bitwise_count(a.words[i] ^ b.words[j]).sum(axis=1, dtype=np.int64)
+        nearer = d < bits[i]
+        best[i[nearer]], bits[i[nearer]] = j[nearer], d[nearer]
     ok = np.flatnonzero(bits <= how.most_bits)
     if len(ok) < how.least_agreeing:
         return 0
@@ -231,83 +244,89 @@ def agreeing(a: Features, b: Features, how: Copies) -> int:
     return most
 
 
+# places travel as one number each
+_FIELDS = ((32, 31), (16, 16), (8, 8), (0, 8))  # shift and width of y, x, scale and turn
+
+
+def _packed(f: Features) -> np.ndarray:
+    return f.y << 32 | f.x << 16 | f.scale << 8 | f.turn
+
+
+def _unpacked(place: np.ndarray, words: np.ndarray) -> Features:
+    parts = [place >> shift & ((1 << width) - 1) for shift, width in _FIELDS]
+    return Features(*parts, words.view(np.uint64).reshape(-1, BITS // 64))
+
+
 def described(images: DataFrame, how: Copies, key: str, image: str) -> DataFrame:
-    """(id, name, n, y, x, scale, turn, words) of each image; ``name`` is a digest of its bytes, null for no image."""
+    """(id, name, n, place, words) of each image; ``name`` is a digest of its bytes, null for no image.
+
+    Images wider than 65,535 pixels are taken for malformed ones.
+    """
     small_batches(images, 256)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column(1).to_pylist()
             pixels = [from_pgm(r) for r in raw]
+            pixels = [m if m is not None and m.shape[1] < 1 << 16 else None for m in pixels]
             names = [hashlib.blake2b(r, digest_size=16).digest() if m is not None else None for r, m in zip(raw, pixels)]
             found = features(pixels, how)
             offsets = np.concatenate([[0], np.cumsum([len(f.y) for f in found])]).astype(np.int32)
-
-            def lists(values: list[np.ndarray], kind: pa.DataType, each: int = 1) -> pa.ListArray:
-                return pa.ListArray.from_arrays(pa.array(offsets * each), pa.array(np.concatenate(values), kind))
-
-            columns = [batch.column(0), pa.array(names, pa.binary()), pa.array(np.diff(offsets), pa.int32())]
-            columns += [lists([f.y for f in found], pa.int32()), lists([f.x for f in found], pa.int32())]
-            columns += [lists([f.scale for f in found], pa.int8()), lists([f.turn for f in found], pa.int8())]
-            columns.append(lists([f.words.ravel().view(np.int64) for f in found], pa.int64(), BITS // 64))
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "name", "n", "y", "x", "scale", "turn", "words"])
+            place = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([_packed(f) for f in found])))
+            words = pa.ListArray.from_arrays(pa.array(offsets * (BITS // 64)), pa.array(np.concatenate([f.words.ravel().view(np.int64) for f in found])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.binary()), pa.array(np.diff(offsets), pa.int32()), place, words], names=["id", "name", "n", "place", "words"])
 
     narrow = images.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{image}`").cast("binary").alias("image"))
-    return narrow.mapInArrow(run, "id long, name binary, n int, y array<int>, x array<int>, scale array<tinyint>, turn array<tinyint>, words array<long>")
+    return narrow.mapInArrow(run, "id long, name binary, n int, place array<long>, words array<long>")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, how: Copies) -> DataFrame:
-    """(a, b, agreeing) of pairs that are copies by their corners."""
-    parts = ("y", "x", "scale", "turn", "words")
+def _confirmed(pairs: DataFrame, every: DataFrame, how: Copies) -> DataFrame:
+    """(a, b) of pairs that are copies by their corners."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = []
-            for side in ("p", "q"):
-                cols = [batch.column(f"{side}_{c}") for c in parts]
-                rows = []
-                for i in range(batch.num_rows):
-                    y, x, scale, turn, words = (np.asarray(c[i].values) for c in cols)
-                    rows.append(Features(y.astype(np.int64), x.astype(np.int64), scale.astype(np.int64), turn.astype(np.int64), words.view(np.uint64).reshape(-1, BITS // 64)))
-                sides.append(rows)
-            counts = [agreeing(p, q, how) if len(p.y) <= len(q.y) else agreeing(q, p, how) for p, q in zip(*sides)]
-            least = [max(how.least_agreeing, how.least_share * min(len(p.y), len(q.y))) for p, q in zip(*sides)]
-            keep = pa.array([c >= m for c, m in zip(counts, least)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep), pa.array(counts, pa.int32()).filter(keep)], names=["a", "b", "agreeing"])
+            keep = []
+            for i in range(batch.num_rows):
+                p, q = (_unpacked(*(np.asarray(batch.column(f"{side}_{c}")[i].values) for c in ("place", "words"))) for side in "pq")
+                p, q = (p, q) if len(p.y) <= len(q.y) else (q, p)
+                keep.append(agreeing(p, q, how) >= max(how.least_agreeing, how.least_share * len(p.y)))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
 
     def side(name: str, to: str) -> DataFrame:
-        return classes.select(F.col("id").alias(to), *[F.col(c).alias(f"{name}_{c}") for c in parts])
+        return every.select(F.col("id").alias(to), F.col("place").alias(f"{name}_place"), F.col("words").alias(f"{name}_words"))
 
     # the centre's features repeat: they are joined last and not shuffled again
-    both = pairs.join(side("p", "a"), "a").join(side("q", "b"), "b")
-    return both.mapInArrow(run, "a long, b long, agreeing int")
+    both = pairs.join(side("p", "a"), "a").join(side("q", "b"), "b").select("a", "b", "p_place", "p_words", "q_place", "q_words")
+    return both.mapInArrow(run, "a long, b long").distinct()
 
 
 def find_copies(images: DataFrame, how: Copies = Copies(), key: str = "id", image: str = "image") -> DataFrame:
     """(id, n_corners, component_id, n_links): one row for each row of ``images`` (key, binary grey map).
 
     ``component_id`` is the smallest id among copies, ``n_links`` the confirmed links of
-    the row's class of equal images. A null id stays apart.
+    the row's id. A null id stays apart.
     """
     scratch = Scratch(images.sparkSession, "images")
     every = scratch.keep(described(images, how, key, image), "described")
-    parts = ("n", "y", "x", "scale", "turn", "words")
-    named = every.where("name IS NOT NULL AND id IS NOT NULL").groupBy("name").agg(F.min("id").alias("id"), F.first(F.struct(*parts)).alias("f"))
-    classes = scratch.keep(named.select("name", "id", *[F.col(f"f.{c}").alias(c) for c in parts]), "classes")
 
     # equal words meet in the table of their place; only the centre of a bucket is paired
-    cut = classes.where(F.col("n") >= how.least_agreeing).select("id", F.posexplode("words").alias("at", "word"))
-    keys = cut.select("id", F.xxhash64(F.col("at") % (BITS // 64), "word").alias("key")).distinct()
-    centres = keys.groupBy("key").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("k")).where("k > 1").select("key", "b")
+    cut = every.where((F.col("n") >= how.least_agreeing) & F.col("id").isNotNull()).select("id", F.posexplode("words").alias("at", "word"))
+    keys = cut.select("id", F.xxhash64(F.col("at") % (BITS // 64), "word").alias("key"))
+    centres = keys.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("top")).where("b < top").select("key", "b")
     votes = keys.join(centres, "key").where("id != b").groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("votes"))
     pairs = scratch.keep(votes.where(F.col("votes") >= how.least_votes).select("a", "b"), "pairs")
 
-    links = scratch.keep(_confirmed(pairs, classes, how), "links")
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    near = scratch.keep(every.select("id", "place", "words").join(ids, "id", "left_semi"), "near")
+    named = every.where("name IS NOT NULL AND id IS NOT NULL").select("name", "id")
+    least = named.groupBy("name").agg(F.min("id").alias("b"), F.max("id").alias("top")).where("b < top").select("name", "b")
+    equal = named.join(least, "name").where("id != b").select(F.col("id").alias("a"), "b")
+    links = scratch.keep(_confirmed(pairs, near, how).union(equal).distinct(), "links")
     groups = components(links, scratch, "copies")
-    degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("root")).agg(F.count(F.lit(1)).alias("n_links"))
-    roots = classes.select("name", F.col("id").alias("root")).join(groups.withColumnRenamed("id", "root"), "root", "left").join(degree, "root", "left")
-    out = every.select("id", "name", "n").join(roots.withColumnsRenamed({"name": "of"}), (F.col("name") == F.col("of")) & F.col("id").isNotNull(), "left")
-    return out.select("id", F.col("n").alias("n_corners"), F.coalesce("component", "root", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("n_links"))
+    out = every.select("id", "n").join(groups, "id", "left").join(degree, "id", "left")
+    return out.select("id", F.col("n").alias("n_corners"), F.coalesce("component", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 # pictures of pages
