@@ -27,6 +27,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -204,7 +205,7 @@ class _OpenBatch:
         self.rows += records.num_rows
         for i, column in enumerate(self.columns):
             values = records.column(i)
-            data = self.encoders[i].encode(_items(values)) if self.encoders[i] else wire.encode(values, column)
+            data = self.encoders[i].encode_array(_framable(values)) if self.encoders[i] else wire.encode(values, column)
             self.streams[i].write(self.options.compression.frame(data))
 
     def close(self, place: str) -> list[str]:
@@ -215,11 +216,10 @@ class _OpenBatch:
         return self.names
 
 
-def _items(values: pa.Array) -> list[bytes | None]:
-    items = values.cast(pa.large_binary()).to_pylist()
-    if any(x is not None and b"\x00" in x for x in items):
+def _framable(values: pa.Array) -> pa.Array:
+    if pc.any(pc.match_substring(values.cast(pa.string()), "\x00")).as_py():
         raise ConversionError("a text with a zero byte can't be framed")
-    return items
+    return values
 
 
 class ColumnFileReader(DataSourceReader):

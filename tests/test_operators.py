@@ -80,6 +80,18 @@ def test_back_references_can_be_decoded(seed):
     assert backref.decode(data) == items
 
 
+@pytest.mark.parametrize("memory", [0, 8192])
+@pytest.mark.parametrize("seed", range(8))
+def test_columns_equal_items(seed, memory):
+    r = random.Random(seed)
+    words = [None, b"", b"x", b"y", "é".encode(), b"long", b"\xff"][: r.randint(1, 7)] + [b"%d" % i for i in range(300)] * r.randint(0, 2)
+    items = [r.choice(words) for _ in range(r.choice((0, 1, 50, 4000)))]
+    one, two = backref.Encoder(memory), backref.Encoder(memory)
+    column = pa.array(items + [None], pa.binary()).slice(0, len(items))
+    cut = len(items) // 3
+    assert two.encode_array(column.slice(0, cut)) + two.encode_array(column.slice(cut)) == one.encode(items)
+
+
 def test_memory_is_bounded():
     encoder = backref.Encoder(8192)
     encoder.encode(b"%d" % i for i in range(50_000))
