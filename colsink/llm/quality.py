@@ -29,7 +29,7 @@ UPPER, LOWER = r"\p{Lu}", r"\p{Ll}"
 PUNCTUATION = r"[.!?,;:…][\"'”’»)]?([\x20\x09-\x0D]|$)"
 # fixed phrases, in lower case
 BOILERPLATE = "all rights reserved|licensed under|released under the|terms of use|terms of service|privacy policy|cookie policy|accept cookies|enable javascript|subscribe to our|sign up for our"
-BOILERPLATE_WORDS = 25
+BOILERPLATE_CHARS = 240  # of a line that can be one
 
 
 def _count(text: Column, pattern: str) -> Column:
@@ -38,17 +38,19 @@ def _count(text: Column, pattern: str) -> Column:
 
 def is_boilerplate(line: Column) -> Column:
     """A short line with one of the fixed phrases."""
-    return F.lower(line).rlike(BOILERPLATE) & (_count(line, WORD) <= BOILERPLATE_WORDS)
+    return (F.length(line) <= BOILERPLATE_CHARS) & F.lower(line).rlike(BOILERPLATE)
 
 
 def line_fails(line: Column) -> Column:
     """A line with a word breaks one of the other rules; lines without words never do."""
     words = _count(line, WORD)
-    symbols = _count(line, SYMBOL) * 5 > words
-    navigation = _count(line, SEPARATOR) * 5 > words
-    shouting = (_count(line, "!!") * 5 > words) | ((_count(line, UPPER) > _count(line, LOWER)) & (words >= 5))
-    loose = ~line.rlike(PUNCTUATION)
-    return line.rlike(WORD) & (symbols | navigation | loose | shouting)
+
+    def dense(pattern: str) -> Column:
+        """Found more than once in five words; words are counted only where it is found at all."""
+        return line.rlike(pattern) & (_count(line, pattern) * 5 > words)
+
+    capitals = line.rlike(UPPER * 2) & (_count(line, UPPER) > _count(line, LOWER)) & (words >= 5)
+    return line.rlike(WORD) & (dense(SYMBOL) | dense(SEPARATOR) | dense("!!") | ~line.rlike(PUNCTUATION) | capitals)
 
 
 def _let(value: Column, use) -> Column:
@@ -149,9 +151,9 @@ rep AS (SELECT r, count(DISTINCT i + k) AS n FROM
 l AS (SELECT r, unnest(string_split(t, chr(10))) AS x FROM d),
 j AS (SELECT r, x, regexp_matches(x, '{WORD}') AS has, {_sql_count("x", WORD)} AS nw, {_sql_count("x", SYMBOL)} AS ns,
         {_sql_count("x", SEPARATOR)} AS nv, {_sql_count("x", "!!")} AS nb, {_sql_count("x", UPPER)} AS nu, {_sql_count("x", LOWER)} AS nl,
-        regexp_matches(x, '{PUNCTUATION.replace(chr(39), chr(39) * 2)}') AS p, regexp_matches(lower(x), '{BOILERPLATE}') AS b FROM l),
-f AS (SELECT r, x, has, b AND nw <= {BOILERPLATE_WORDS} AS plate,
-        has AND (ns * 5 > nw OR nv * 5 > nw OR nb * 5 > nw OR (nu > nl AND nw >= 5) OR NOT p) AS bad FROM j),
+        regexp_matches(x, '{PUNCTUATION.replace(chr(39), chr(39) * 2)}') AS p, length(x) <= {BOILERPLATE_CHARS} AND regexp_matches(lower(x), '{BOILERPLATE}') AS plate, regexp_matches(x, '{UPPER * 2}') AS uu FROM l),
+f AS (SELECT r, x, has, plate,
+        has AND (ns * 5 > nw OR nv * 5 > nw OR nb * 5 > nw OR (uu AND nu > nl AND nw >= 5) OR NOT p) AS bad FROM j),
 g AS (SELECT r, count(*) AS n_lines, count(*) FILTER (bad OR plate) AS n_lines_removed,
         coalesce(sum(length(x)) FILTER (bad AND NOT plate), 0)::BIGINT AS lost_chars, coalesce(sum(length(x)) FILTER (NOT plate), 0)::BIGINT AS chars, count(*) FILTER (has) - count(DISTINCT x) FILTER (has) AS n_dup_lines FROM f GROUP BY r),
 m AS (SELECT doc_id, len(ws)::BIGINT AS n_words, (length(t) - {_sql_count("t", SPACE)})::BIGINT AS word_chars, {_sql_count("t", SYMBOL)}::BIGINT AS n_symbols,
