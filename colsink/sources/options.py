@@ -18,7 +18,11 @@ def _flag(options: Mapping[str, str], name: str, default: bool = False) -> bool:
 
 @dataclass(frozen=True)
 class SinkOptions:
-    """``path``: the dump's folder. ``table``: its name in the scripts, quoted by the caller."""
+    """``path``: the dump's folder. ``table``: its name in the scripts, quoted by the caller.
+
+    ``serverfeatures`` names what the loading server can do, of ``backrefs`` and ``lz4``:
+    without the first texts are written plainly, without the second compression is refused.
+    """
 
     path: str
     table: str = "dump"
@@ -43,6 +47,9 @@ class SinkOptions:
         size = given.get("batchsize")
         if size is not None and (not str(size).strip().isdigit() or int(size) < 1):
             raise ValueError("option batchsize must be a whole number of 1 or more")
+        able = {x.strip().lower() for x in given.get("serverfeatures", "backrefs,lz4").split(",") if x.strip()}
+        if unknown := able - {"backrefs", "lz4"}:
+            raise ValueError(f"unknown server feature {', '.join(sorted(unknown))}")
         made = SinkOptions(
             path=path.rstrip("/"),
             table=given.get("dbtable", "dump"),
@@ -53,10 +60,12 @@ class SinkOptions:
             prefix=given.get("dumpprefix"),
             on_server=_flag(given, "dumponserver"),
             compression=Compression.parse(given.get("compression", "none")),
-            backrefs=memory_size(given.get("backrefsize", "0")),
+            backrefs=memory_size(given.get("backrefsize", "0")) if "backrefs" in able else -1,
             truncate=_flag(given, "truncate"),
             cascade=_flag(given, "cascadetruncate"),
         )
+        if made.compression.level is not None and "lz4" not in able:
+            raise ValueError("the server can't load compressed files")
         if made.immediate_commit and "dumpdir" in given:
             raise ValueError("dumpdir and immediatecommit exclude each other")
         if (made.prefix is not None or made.on_server) and "dumpdir" not in given:

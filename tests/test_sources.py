@@ -140,7 +140,7 @@ def test_dump_directory_options(spark, tmp_path):
 
 @pytest.mark.parametrize(
     "bad",
-    [{}, {"path": "x", "batchsize": "0"}, {"path": "x", "truncate": "maybe"}, {"dumpdir": "x", "immediatecommit": "true"}, {"path": "x", "dumpprefix": "y"}, {"path": "x", "dumponserver": "true"}, {"path": "x", "compression": "zip"}, {"path": "x", "backrefsize": "many"}],
+    [{}, {"path": "x", "batchsize": "0"}, {"path": "x", "truncate": "maybe"}, {"dumpdir": "x", "immediatecommit": "true"}, {"path": "x", "dumpprefix": "y"}, {"path": "x", "dumponserver": "true"}, {"path": "x", "compression": "zip"}, {"path": "x", "backrefsize": "many"}, {"path": "x", "compression": "lz4", "serverfeatures": "backrefs"}, {"path": "x", "serverfeatures": "magic"}],
 )
 def test_bad_options(bad):
     with pytest.raises(ValueError):
@@ -152,6 +152,11 @@ def test_option_defaults():
     assert (made.path, made.batch_size, made.null_on_overflow, made.backrefs, made.compression.level) == ("/x", None, False, 0, None)
 
 
+def test_server_features():
+    assert SinkOptions.parse({"path": "x", "serverfeatures": "lz4", "backrefsize": "64k"}).backrefs == -1
+    assert SinkOptions.parse({"path": "x", "backrefsize": "64k"}).backrefs == 65536
+
+
 def test_scripts():
     assert scripts.identifier('a"b') == '"a""b"' and scripts.literal("it's") == "R'it''s'"
     assert scripts.file_name(3, "a.b c_1") == "col3.a~b~c_1.bin"
