@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -56,12 +59,14 @@ class Scratch:
     """Tables written into the shared folder to cut lineage.
 
     A table is written once by Spark's own committer (so that lost executors and
-    repeated tasks do no harm) and then read back. ``drop`` removes one early.
+    repeated tasks do no harm) and then read back. ``drop`` removes one early; what is
+    left goes when the driver's Python ends, as results may read it until then.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/colsink-{label}-{uuid.uuid4().hex}"
+        atexit.register(self._clear)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -71,10 +76,20 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:
+        self._delete(self.path(name))
+
+    def _delete(self, path: str) -> None:
         jvm = self.spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        at = jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
+    def _clear(self) -> None:
+        local = re.sub(r"^file:/*", "/", self.root)
+        if local.startswith("/"):
+            shutil.rmtree(local, ignore_errors=True)
+        elif self.spark.sparkContext._jsc is not None:  # the session still runs
+            self._delete(self.root)
+
 
 def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """``f`` applied to each record batch; ``f`` sees one bounded batch at a time."""
