@@ -141,14 +141,19 @@ def _repayments(rounded: DataFrame, most: int) -> DataFrame:
     return per_source.select("_s", F.inline(settled))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.0, most: int = 3, key: str = "doc_id", source: str = "source", size: str = "size") -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.0, most: int = 3, key: str = "doc_id", source: str = "source", size: str = "size", narrow: DataFrame | None = None) -> DataFrame:
     """``docs`` with source_size, target and copies; one row each, the rows as they were.
 
+    What decides, key, source and size, is written once and read from there, so that texts
+    are measured once more at most; ``narrow`` is such a table where the caller has one.
+
     The caller may repeat rows ``copies`` times. An empty table gives an empty result;
     a null source is a source of its own, the last; sizes must not be null.
     """
-    targets = source_targets(docs, source, size, weights, share, most)
-    made = copies(docs, targets, key, source, size, most)
+    if narrow is None:
+        narrow = Scratch(docs.sparkSession, "mix").keep(docs.select(key, source, size), "narrow")
+    targets = source_targets(narrow, source, size, weights, share, most)
+    made = copies(narrow, targets, key, source, size, most)
     given = F.broadcast(targets.select(never_null(F.col("source")).alias("_s"), "source_size", "target"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # so that no column's name clashes
     tagged = docs.select(row.alias("_row"), never_null(docs[key]).alias("_k"), never_null(docs[source]).alias("_s"), docs[size].cast("long").alias("_n"))
@@ -165,5 +170,5 @@ def op7_entropy_mix(spark, sf_dir: str) -> DataFrame:
     """
     docs = read_table(spark, sf_dir, "documents")
     sized = Scratch(spark, "mix").keep(docs.select("doc_id", "source", n_words(docs["text"]).alias("size")), "sized")
-    out = mix(sized)
+    out = mix(sized, narrow=sized)
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")
