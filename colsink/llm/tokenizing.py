@@ -32,12 +32,16 @@ _RUNS = ("  ", " \n", "\n ", "\n\n", _CUT, "\t", "\r", "\x0b", "\x0c", *_NOT_SPA
 _WIDE = ("\x85", "\xa0", "\u1680", *map(chr, range(0x2000, 0x200B)), "\u2028", "\u2029", "\u202f", "\u205f", "\u3000")
 
 
+_LATIN_END = "\u0250"  # letters before it compose and change case alike in all Unicode versions
+_DOTTED = "\u0130"  # but this one, whose lower case ends in a mark that is no letter
+
+
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids; special tokens are ordinary text.
 
     New pieces are encoded many at a time, a control character between them that no
     token joins to anything; its id tells where pieces end. A full stop or comma after
-    a letter is a token of its own in both vocabularies, so it is split off first.
+    a Latin letter is a token of its own in both vocabularies, so it is split off first.
     """
 
     def __init__(self, path: str, most_pieces: int = 900_000, longest: int = 48):
@@ -94,7 +98,7 @@ class Encoder:
                 continue
             cut.append(pieces)
             missing.update(set(pieces).difference(cache))
-        stems = {p: p[:-1] for p in missing if len(p) > 2 and p[-1] in ",." and p[-2].isalpha()}
+        stems = {p: p[:-1] for p in missing if len(p) > 2 and p[-1] in ",." and p[-2].isalpha() and p[-2] < _LATIN_END and p[-2] != _DOTTED}
         plain = (missing - stems.keys()) | set(stems.values()).difference(cache) | {",", "."}.difference(cache)
         long = [p for p in plain if len(p) > self.longest]
         fresh = [p for p in plain if len(p) <= self.longest]

@@ -47,6 +47,14 @@ def test_pieces_equal_whole_texts(name, most):
     assert encoder._whole(texts) == encoder.encode(texts)
 
 
+@pytest.mark.parametrize("name", [BYTE_BPE, WORD_BPE])
+def test_letters_go_straight_to_the_merges(name):
+    letters = [chr(c) for c in range(33, 0x260)]
+    texts = [f"{a}b {a} x{a}{b} {b.upper()}{a}, Y{a}. {a}'s" for a, b in zip(letters, [*letters[7:], *letters[:7]])]
+    encoder = Encoder(vocabulary(name))
+    assert encoder.mark is not None and encoder._whole(texts) == encoder.encode(texts)
+
+
 def expected_ids(name, texts):
     return [np.append(np.frombuffer(x, "<u4"), np.uint32(0)).astype("<u4") for x in Encoder(vocabulary(name))._whole([t or "" for t in texts])]
 
