@@ -135,7 +135,7 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def texts_in_parts(column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, list[str]]]:
+def texts_in_parts(column: pa.Array, most: int = 2 << 20) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) of about ``most`` characters a part; nulls are empty texts."""
     texts = column.to_pylist()
     at = size = 0
@@ -159,10 +159,10 @@ def crc32_ids(ids: Column) -> Column:
     """Unsigned CRC-32 of a list of ids as little-endian unsigned 32-bit integers."""
 
     def run(lists: pa.Array) -> pa.Array:
-        out = []
-        for x in lists:
-            out.append(zlib.crc32(np.asarray(x.values, dtype="<i4").tobytes()) if x.is_valid else None)
-        return pa.array(out, pa.int64())
+        values = memoryview(np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False), "<i4").view("u1"))
+        bounds = (lists.offsets.to_numpy().astype(np.int64) * 4).tolist()
+        known = lists.is_valid().to_pylist()
+        return pa.array([zlib.crc32(values[i:j]) if ok else None for i, j, ok in zip(bounds, bounds[1:], known)], pa.int64())
 
     return F.arrow_udf(run, "long")(ids)
 
