@@ -25,6 +25,9 @@ from pyspark.sql import functions as F
 from colsink.llm.common import Scratch, read_table, shuffle_width
 from colsink.llm.tokenizing import BYTE_BPE, END_ID, crc32_ids, encoder, id_lists, small_batches, texts_in_parts, vocabulary
 
+#: Pieces a worker keeps: fewer than elsewhere, as the sorted texts take memory beside it.
+CACHED = 600_000
+
 SCHEMA = "doc_id long, ids array<int>, n_tokens int, part int, first_in_part long"
 
 
@@ -55,7 +58,7 @@ def tokenized(docs: DataFrame, tokenizer: str, partitions: int, key: str = "doc_
         first = 0
         for batch in batches:
             for at, texts in texts_in_parts(batch.column(1)):
-                ids = [x + end for x in encoder(tokenizer).encode(texts)]
+                ids = [x + end for x in encoder(tokenizer, CACHED).encode(texts)]
                 sizes = np.array([len(x) // 4 for x in ids], np.int64)
                 ends = first + np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(

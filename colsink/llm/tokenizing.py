@@ -118,13 +118,13 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, most_pieces: int = 900_000) -> Encoder:
     """The worker's encoder for a vocabulary file; one thread, as tasks already fill the cores."""
     import os
 
     if path not in _ENCODERS:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, most_pieces)
     return _ENCODERS[path]
 
 
@@ -135,7 +135,7 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def texts_in_parts(column: pa.Array, most: int = 2 << 20) -> Iterator[tuple[int, list[str]]]:
+def texts_in_parts(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) of about ``most`` characters a part; nulls are empty texts."""
     texts = column.to_pylist()
     at = size = 0
