@@ -5,9 +5,9 @@ two apart; a corner's orientation is the direction of its patch's intensity cent
 128 binary tests between smoothed pixels, turned by that orientation, make a descriptor.
 
 Candidates: descriptors are cut into words, and equal words meet in a hash table, one for
-each place. Within a table's bucket each image is paired with one centre only, the
-smallest id, so a word that many images have gives one pair an image. Images that are
-equal bit for bit are linked with the smallest id among them without a look at corners.
+each place. Images that are equal bit for bit are one class and are linked with the
+smallest id among them without a look at corners; all classes that share enough words are
+compared, whatever else is in their buckets.
 
 Confirmation: corners of a pair are matched by the same tables, equal words in the order
 they stand, and kept by Hamming distance; each match proposes a scale, a turn and a
@@ -296,7 +296,6 @@ def _confirmed(pairs: DataFrame, every: DataFrame, how: Copies) -> DataFrame:
     def side(name: str, to: str) -> DataFrame:
         return every.select(F.col("id").alias(to), F.col("place").alias(f"{name}_place"), F.col("words").alias(f"{name}_words"))
 
-    # the centre's features repeat: they are joined last and not shuffled again
     both = pairs.join(side("p", "a"), "a").join(side("q", "b"), "b").select("a", "b", "p_place", "p_words", "q_place", "q_words")
     return both.mapInArrow(run, "a long, b long").distinct()
 
@@ -310,18 +309,21 @@ def find_copies(images: DataFrame, how: Copies = Copies(), key: str = "id", imag
     scratch = Scratch(images.sparkSession, "images")
     every = scratch.keep(described(images, how, key, image), "described")
 
-    # equal words meet in the table of their place; only the centre of a bucket is paired
-    cut = every.where((F.col("n") >= how.least_agreeing) & F.col("id").isNotNull()).select("id", F.posexplode("words").alias("at", "word"))
-    keys = cut.select("id", F.xxhash64(F.col("at") % (BITS // 64), "word").alias("key"))
-    centres = keys.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("top")).where("b < top").select("key", "b")
-    votes = keys.join(centres, "key").where("id != b").groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("votes"))
+    # the smallest id stands for its class of equal images
+    named = every.where("name IS NOT NULL AND id IS NOT NULL").select("name", "id")
+    least = scratch.keep(named.groupBy("name").agg(F.min("id").alias("b"), F.max("id").alias("top")), "classes")
+    equal = named.join(least.where("b < top"), "name").where("id != b").select(F.col("id").alias("a"), "b")
+    classes = every.join(least.select("name", F.col("b").alias("id")), ["name", "id"], "left_semi")
+
+    # equal words meet in the table of their place, where all classes are paired
+    cut = classes.where(F.col("n") >= how.least_agreeing).select("id", F.posexplode("words").alias("at", "word"))
+    keys = cut.select("id", F.xxhash64(F.col("at") % (BITS // 64), "word").alias("key")).repartition("key").groupBy("key", "id").agg(F.count(F.lit(1)).alias("k"))
+    met = keys.alias("p").join(keys.alias("q"), (F.col("p.key") == F.col("q.key")) & (F.col("p.id") > F.col("q.id")))
+    votes = met.groupBy(F.col("p.id").alias("a"), F.col("q.id").alias("b")).agg(F.sum(F.greatest("p.k", "q.k")).alias("votes"))
     pairs = scratch.keep(votes.where(F.col("votes") >= how.least_votes).select("a", "b"), "pairs")
 
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    near = scratch.keep(every.select("id", "place", "words").join(ids, "id", "left_semi"), "near")
-    named = every.where("name IS NOT NULL AND id IS NOT NULL").select("name", "id")
-    least = named.groupBy("name").agg(F.min("id").alias("b"), F.max("id").alias("top")).where("b < top").select("name", "b")
-    equal = named.join(least, "name").where("id != b").select(F.col("id").alias("a"), "b")
+    near = scratch.keep(classes.select("id", "place", "words").join(ids, "id", "left_semi"), "near")
     links = scratch.keep(_confirmed(pairs, near, how).union(equal).distinct(), "links")
     groups = components(links, scratch, "copies")
     degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("n_links"))

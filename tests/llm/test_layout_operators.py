@@ -361,6 +361,17 @@ def test_page_copies(spark, tmp_path):
     assert {r["page_id"]: r["component_id"] for r in made} == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4, 5: 5, 6: 0}
 
 
+def test_copies_that_share_words_with_smaller_ids(spark):
+    """Each part of a pair's common pixels also stands in a picture of smaller id that is no copy."""
+    base, other = texture(7, 416, 416), [texture(s, 416, 416) for s in range(20, 120)]
+    for k, m in enumerate(other):
+        y, x = (32 * v for v in divmod(k, 10))
+        m[y : y + 128, x : x + 128] = base[y : y + 128, x : x + 128]
+    rows = [*enumerate(other), (500, base), (700, base[40:376, 40:376])]
+    made = image_copies.find_copies(spark.createDataFrame([(i, image_copies.to_pgm(m)) for i, m in rows], "id long, image binary")).collect()
+    assert {r["id"]: r["component_id"] for r in made} == {**{i: i for i in range(100)}, 500: 500, 700: 500}
+
+
 # the pipeline
 
 
