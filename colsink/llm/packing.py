@@ -3,11 +3,13 @@
 The lengths' histogram is all that the driver needs: at most ``capacity`` counts,
 whatever the data's size. A configuration says how many pieces of each length class go
 into one sequence. The linear program, to cover all classes with fewest configurations,
-is solved by multiplicative weights: each class has a price that falls as it is covered,
-and a knapsack dynamic program finds the configuration of highest price. The solution
-is rounded down to whole multiplicities and each is unfolded into exact lengths. Small
-pieces take no part in the program: they and what the rounding leaves over are put
-best-fit decreasing into the room that remains, all on counts.
+is started by multiplicative weights: each class has a price that falls as it is covered,
+and a knapsack dynamic program finds the configuration of highest price. From these
+configurations a simplex method goes on with the same pricing until none has a price above
+one, so at most as many configurations remain as there are classes. All lengths take part.
+The solution is rounded down to whole multiplicities and each is unfolded into exact
+lengths; what the rounding leaves over is put best-fit decreasing into the room that
+remains, all on counts.
 
 The plan is a list of blocks, (multiplicity, lengths), whose number is bounded by the
 classes, the lengths and the iterations. Each piece finds its place from its length and
@@ -82,6 +84,41 @@ def configuration_lp(counts: np.ndarray, capacity: int, iterations: int = 2500,
     return sorted(((w * scale, shapes[n]) for n, w in weights.items()), key=lambda x: (-x[0], x[1].tobytes()))
 
 
+def solved_lp(counts: np.ndarray, capacity: int, weighted: int = 200, rounds: int = 2000) -> list[tuple[float, np.ndarray]]:
+    """(weight, configuration) pairs that cover ``counts`` exactly, by column generation.
+
+    It begins with one class a configuration and takes in those of ``weighted`` rounds of
+    multiplicative weights first; a solution is valid after any number of ``rounds``.
+    """
+    live = np.flatnonzero(counts > 0)
+    if not len(live):
+        return []
+    need = counts[live].astype(float)
+    basis = np.diag((capacity // (live + 1)).astype(float))
+    x = need / np.diag(basis)
+    prices = np.full(len(counts), -1.0)
+    waiting = np.array([shape[live] for _, shape in configuration_lp(counts, capacity, weighted)], float)
+    for _ in range(rounds):
+        prices[live] = price = np.linalg.solve(basis.T, np.ones(len(live)))
+        worth = waiting @ price
+        if len(worth) and worth.max() > 1 + 1e-7:
+            column = waiting[worth.argmax()]
+        else:
+            waiting = waiting[:0]
+            column = best_configuration(prices, capacity)[live].astype(float)
+            if column @ price <= 1 + 1e-7:
+                break
+        step = np.linalg.solve(basis, column)
+        ratio = np.full(len(step), np.inf)
+        np.divide(x, step, out=ratio, where=step > 1e-9)
+        k = int(ratio.argmin())
+        x = np.maximum(x - ratio[k] * step, 0)
+        x[k], basis[:, k] = ratio[k], column
+    shapes = np.zeros((len(live), len(counts)), np.int64)
+    shapes[:, live] = basis.T
+    return sorted(zip(x.tolist(), shapes), key=lambda p: (-p[0], p[1].tobytes()))
+
+
 def best_fit(blocks: list[Block], left: dict[int, int], capacity: int) -> list[Block]:
     """Put the pieces ``left`` (length: count) into the blocks' room and then into new blocks.
 
@@ -130,21 +167,16 @@ def best_fit(blocks: list[Block], left: dict[int, int], capacity: int) -> list[B
     return [b for bs in room.values() for b in bs]
 
 
-#: (small, reserve) as parts of the capacity. Pieces above ``small`` take part in the program,
-#: whose configurations leave ``reserve`` free for the others.
-SETTINGS = ((1 / 2, 0), (0.488, 1 / 8), (1 / 3, 1 / 4), (1 / 3, 5 / 16), (0.39, 1 / 8), (1 / 4, 1 / 8))
-
-
-def pack_histogram(histogram: dict[int, int], capacity: int = CAPACITY, unit: int = 16, iterations: int = 400) -> list[Block]:
+def pack_histogram(histogram: dict[int, int], capacity: int = CAPACITY, unit: int = 16) -> list[Block]:
     """Blocks that hold exactly the pieces of a histogram (length: count).
 
-    The program is solved and rounded for each setting, and the plan of fewest sequences is
-    kept; the first one that meets the lower bound ends the search.
+    The program is solved with lengths rounded to the nearest unit and up to the next one,
+    and the plan of fewest sequences is kept; one that meets the lower bound ends the search.
     """
     least = max(-(-sum(n * c for n, c in histogram.items()) // capacity), sum(c for n, c in histogram.items() if 2 * n > capacity))
     best: tuple[int, list[Block]] | None = None
-    for small, reserve in SETTINGS:
-        plan = _solved(histogram, capacity, unit, iterations, int(small * capacity), int(reserve * capacity))
+    for up in (False, True):
+        plan = best_fit(*unfolded(histogram, capacity, unit, up), capacity)
         total = sum(b.times for b in plan)
         if best is None or total < best[0]:
             best = total, plan
@@ -153,31 +185,27 @@ def pack_histogram(histogram: dict[int, int], capacity: int = CAPACITY, unit: in
     return best[1]
 
 
-def _solved(histogram: dict[int, int], capacity: int, unit: int, iterations: int, small: int, reserve: int) -> list[Block]:
-    classes = -(-capacity // unit)
+def unfolded(histogram: dict[int, int], capacity: int, unit: int = 16, up: bool = False) -> tuple[list[Block], dict[int, int]]:
+    """Blocks of the rounded program over all lengths, and the pieces (length: count) it leaves over.
+
+    Up to 64 lengths are not rounded at all.
+    """
     left = {n: c for n, c in histogram.items() if c > 0}
     if any(not 0 < n <= capacity for n in left):
         raise ValueError("piece lengths must be from 1 to the capacity")
-    of = lambda n: -(-n // unit) - 1
-    counts = np.zeros(classes, np.int64)
-    queues: list[list[int]] = [[] for _ in range(classes)]
-    for n in sorted(n for n in left if n > small):  # the longest of a class is taken first
+    units = capacity if len(left) <= 64 else capacity // min(unit, max(1, capacity // 128))
+    of = lambda n: max(1, -(-n * units // capacity) if up else (2 * n * units + capacity) // (2 * capacity)) - 1
+    counts = np.zeros(units, np.int64)
+    queues: list[list[int]] = [[] for _ in range(units)]
+    for n in sorted(left):
         counts[of(n)] += left[n]
         queues[of(n)].append(n)
     blocks: list[Block] = []
-    for weight, shape in configuration_lp(counts, classes - reserve // unit, iterations):
-        todo = int(weight)
+    for weight, shape in solved_lp(counts, units):
+        slots = [int(k) for k in np.flatnonzero(shape)[::-1] for _ in range(shape[k])]
+        todo = int(weight + 1e-6)
         while todo:
-            uses: dict[int, int] = {}
-            for k in np.flatnonzero(shape)[::-1]:
-                want, q = int(shape[k]), len(queues[k]) - 1
-                while want and q >= 0:
-                    n = queues[k][q]
-                    got = min(want, left[n])
-                    if got:
-                        uses[n] = uses.get(n, 0) + got
-                        want -= got
-                    q -= 1
+            uses = _filled(slots, queues, left, capacity)
             if not uses:
                 break
             times = min(todo, *(left[n] // u for n, u in uses.items()))
@@ -187,7 +215,23 @@ def _solved(histogram: dict[int, int], capacity: int, unit: int, iterations: int
                 left[n] -= times * u
                 if not left[n]:
                     queues[of(n)].remove(n)
-    return best_fit(blocks, left, capacity)
+    return blocks, left
+
+
+def _filled(slots: list[int], queues: list[list[int]], left: dict[int, int], capacity: int) -> dict[int, int]:
+    """A length for each slot, the longest of its class that leaves room for the other slots; empty where none is."""
+    if not all(queues[k] for k in slots):
+        return {}
+    uses: dict[int, int] = {}
+    room = capacity - sum(queues[k][0] for k in slots)
+    for k in slots:
+        room += queues[k][0]
+        n = next((n for n in reversed(queues[k]) if n <= room and left[n] > uses.get(n, 0)), None)
+        if n is None:
+            return {}
+        uses[n] = uses.get(n, 0) + 1
+        room -= n
+    return uses
 
 
 def placement_index(blocks: list[Block]) -> dict[str, np.ndarray]:

@@ -131,6 +131,19 @@ def test_hard_plans():
         packing.pack_histogram({2049: 1})
 
 
+def test_the_program_combines_the_pieces():
+    """All lengths take part in the program; what it leaves over is a small part of the pieces."""
+    r = random.Random(9)
+    histogram = {}
+    for n in (min(2048, int(r.expovariate(1 / 500)) + 1) for _ in range(20_000)):
+        histogram[n] = histogram.get(n, 0) + 1
+    blocks, left = packing.unfolded(histogram, 2048)
+    assert sum(left.values()) < 0.25 * 20_000
+    assert all(sum(b.lengths) <= 2048 for b in blocks)
+    assert sum(b.times for b in blocks if len(b.lengths) > 1) > 0.7 * sum(b.times for b in blocks)
+    assert check_plan(histogram, 2048) <= 1.005 * sum(n * c for n, c in histogram.items()) / 2048 + 1
+
+
 def test_knapsack_equals_brute_force():
     r = np.random.default_rng(3)
     for _ in range(20):
