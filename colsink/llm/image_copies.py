@@ -4,14 +4,14 @@ Features: corners (the Harris response, largest within a radius) at scales a fac
 two apart; a corner's orientation is the direction of its patch's intensity centroid;
 128 binary tests between smoothed pixels, turned by that orientation, make a descriptor.
 
-Candidates: descriptors are cut into words, and equal words meet in a hash table, one for
+Candidates: descriptors are cut into words of 32 bits, and equal words meet in a hash table, one for
 each place. Images that are equal bit for bit are one class and are linked with the
 smallest id among them without a look at corners; all classes that share enough words are
 compared, whatever else is in their buckets.
 
-Confirmation: corners of a pair are matched by the same tables, equal words in the order
-they stand, and kept by Hamming distance; each match proposes a scale, a turn and a
-shift, and matches that agree in them are counted. An edit may shift
+Confirmation: each corner of the image with fewer of them is matched with all corners of
+the other that are nearest by Hamming distance; each match proposes a scale, a turn and a
+shift, and corners whose matches agree in them are counted. An edit may shift
 what follows it, so shifts of the same scale and turn may add up. A pair is linked where
 enough of the smaller image's corners agree. Linked images form components.
 
@@ -197,51 +197,57 @@ def features(images: list[np.ndarray | None], how: Copies) -> list[Features]:
     return [Features(*(np.concatenate(c) for c in zip(*f))) if f else Features(*none) for f in out]
 
 
-def _in_order(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of equal values: the k-th of a value in ``a`` with its k-th in ``b``, so repeats make no product."""
-    both = np.concatenate([a, b])
-    order = np.argsort(both, kind="stable")
-    first = np.ones(len(both), bool)
-    first[1:] = both[order[1:]] != both[order[:-1]]
-    starts = np.flatnonzero(first)
-    sizes = np.diff(np.append(starts, len(both)))
-    mine = np.add.reduceat((order < len(a)).astype(np.int64), starts)
-    each = np.minimum(mine, sizes - mine)
-    left = np.repeat(starts, each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-    return order[left], order[left + np.repeat(mine, each)] - len(a)
+def _nearest(a: Features, b: Features, how: Copies) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(corners of a, corners of b) nearest to them, ties included, in blocks of ``a`` for long images."""
+    step = max(1, 1_000_000 // len(b.y))
+    for s in range(0, len(a.y), step):
+        bits = sum(np.bitwise_count(a.words[s : s + step, w, None] ^ b.words[None, :, w]) for w in range(BITS // 64))
+        least = bits.min(axis=1)
+        near = np.flatnonzero(least <= how.most_bits)
+        i, j = np.nonzero(bits[near] == least[near, None])
+        yield near[i] + s, j
 
 
 def agreeing(a: Features, b: Features, how: Copies) -> int:
-    """Corners of ``a`` whose best matches in ``b`` agree on scale, turn and shift."""
+    """Corners of ``a`` whose nearest matches in ``b`` agree on scale, turn and shift."""
     if not len(a.y) or not len(b.y):
         return 0
-    best, bits = np.zeros(len(a.y), np.int64), np.full(len(a.y), BITS + 1)
-    for w in range(BITS // 64):
-        i, j = _in_order(a.words[:, w], b.words[:, w])
-        d = np.bitwise_count(a.words[i] ^ b.words[j]).sum(axis=1, dtype=np.int64)
-        nearer = d < bits[i]
-        best[i[nearer]], bits[i[nearer]] = j[nearer], d[nearer]
-    ok = np.flatnonzero(bits <= how.most_bits)
-    if len(ok) < how.least_agreeing:
+
+    def votes() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(corner, cell) of each match once; a cell tells grid, scale, turn and shift."""
+        for i, to in _nearest(a, b, how):
+            ratio = b.scale[to] - a.scale[i]
+            turn = (b.turn[to] - a.turn[i]) % TURNS
+            angle, grow = 2 * np.pi * turn / TURNS, 2.0**ratio
+            dy = b.y[to] - grow * (np.sin(angle) * a.x[i] + np.cos(angle) * a.y[i])
+            dx = b.x[to] - grow * (np.cos(angle) * a.x[i] - np.sin(angle) * a.y[i])
+            pose = (ratio + 16) * TURNS + turn
+            # shifts in two staggered grids, so that a cluster isn't cut by both
+            for half in (0, 1):
+                cell = np.stack([pose * 2 + half, np.floor(dy / how.shift + half / 2).astype(np.int64), np.floor(dx / how.shift + half / 2).astype(np.int64)])
+                key = (cell[0] << 52) + (cell[1] + (1 << 25) << 26) + (cell[2] + (1 << 25))
+                order = np.lexsort((key, i))
+                new = np.ones(len(order), bool)
+                new[1:] = (key[order[1:]] != key[order[:-1]]) | (i[order[1:]] != i[order[:-1]])
+                yield i[order[new]], key[order[new]]
+
+    # one block is kept, more are matched again
+    few = len(a.y) * len(b.y) <= 4_000_000
+    kept = list(votes()) if few else None
+    cells, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    for _, key in kept if few else votes():
+        cells, at = np.unique(np.concatenate([cells, key]), return_inverse=True)
+        counts = np.bincount(at, np.concatenate([counts, np.ones(len(key), np.int64)]), len(cells)).astype(np.int64)
+    good = cells[counts >= 3]
+    if not len(good):
         return 0
-    to = best[ok]
-    ratio = b.scale[to] - a.scale[ok]
-    turn = (b.turn[to] - a.turn[ok]) % TURNS
-    angle, grow = 2 * np.pi * turn / TURNS, 2.0**ratio
-    dy = b.y[to] - grow * (np.sin(angle) * a.x[ok] + np.cos(angle) * a.y[ok])
-    dx = b.x[to] - grow * (np.cos(angle) * a.x[ok] - np.sin(angle) * a.y[ok])
-    pose = ratio * TURNS + turn
-    most = 0
-    for p in np.unique(pose):
-        mine = np.flatnonzero(pose == p)
-        # shifts in two staggered grids, so that a cluster isn't cut by both
-        each = []
-        for half in (0.0, 0.5):
-            cells = np.stack([np.floor(dy[mine] / how.shift + half), np.floor(dx[mine] / how.shift + half)], axis=1)
-            counts = np.unique(cells, axis=0, return_counts=True)[1]
-            each.append(int(counts[counts >= 3].sum()))
-        most = max(most, *each)
-    return most
+    agree: dict[int, int] = {}
+    for i, key in kept if few else votes():
+        inside = np.isin(key, good)
+        each = np.unique(np.stack([key[inside] >> 52, i[inside]]), axis=1)[0]  # a corner counts once in a pose
+        for pose, n in zip(*(v.tolist() for v in np.unique(each, return_counts=True))):
+            agree[pose] = agree.get(pose, 0) + n
+    return max(agree.values())
 
 
 # places travel as one number each
@@ -317,7 +323,9 @@ def find_copies(images: DataFrame, how: Copies = Copies(), key: str = "id", imag
 
     # equal words meet in the table of their place, where all classes are paired
     cut = classes.where(F.col("n") >= how.least_agreeing).select("id", F.posexplode("words").alias("at", "word"))
-    keys = cut.select("id", F.xxhash64(F.col("at") % (BITS // 64), "word").alias("key")).repartition("key").groupBy("key", "id").agg(F.count(F.lit(1)).alias("k"))
+    table = F.col("at") % (BITS // 64) * 2
+    halves = F.explode(F.array((table * 2**32) + F.shiftrightunsigned("word", 32), ((table + 1) * 2**32) + F.col("word").bitwiseAND(0xFFFFFFFF)))
+    keys = cut.select("id", halves.alias("key")).repartition("key").groupBy("key", "id").agg(F.count(F.lit(1)).alias("k"))
     met = keys.alias("p").join(keys.alias("q"), (F.col("p.key") == F.col("q.key")) & (F.col("p.id") > F.col("q.id")))
     votes = met.groupBy(F.col("p.id").alias("a"), F.col("q.id").alias("b")).agg(F.sum(F.greatest("p.k", "q.k")).alias("votes"))
     pairs = scratch.keep(votes.where(F.col("votes") >= how.least_votes).select("a", "b"), "pairs")

@@ -358,6 +358,17 @@ def test_scales_agree():
     assert image_copies.agreeing(b, a, how) > 0.8 * len(b.y) and image_copies.agreeing(c, a, how) < how.least_agreeing
 
 
+def test_noisy_copies(spark):
+    how, pictures = image_copies.Copies(), [texture(s) for s in range(30, 38)]
+    noise = np.random.default_rng(1).normal(0, 20, (8, *pictures[0].shape))
+    noisy = [np.clip(m + n, 0, 255).astype(np.uint8) for m, n in zip(pictures, noise)]
+    rows = [(i, image_copies.to_pgm(m)) for i, m in enumerate([*pictures, *noisy])]
+    made = image_copies.find_copies(spark.createDataFrame(rows, "id long, image binary")).collect()
+    assert {r["id"]: r["component_id"] for r in made} == {i: i % 8 for i in range(16)}
+    a, b = image_copies.features([np.tile(texture(8, 48, 48), (4, 4)), np.tile(texture(8, 48, 48), (4, 4))[60:, 60:]], how)
+    assert image_copies.agreeing(b, a, how) > 0.8 * len(b.y)  # repeats, the first of them cut off
+
+
 def test_grey_maps():
     base = texture(6)
     assert (image_copies.from_pgm(image_copies.to_pgm(base)) == base).all()
@@ -376,13 +387,13 @@ def test_page_copies(spark, tmp_path):
 
 def test_copies_that_share_words_with_smaller_ids(spark):
     """Each part of a pair's common pixels also stands in a picture of smaller id that is no copy."""
-    base, other = texture(7, 416, 416), [texture(s, 416, 416) for s in range(20, 120)]
+    base, other = texture(7, 288, 288), [texture(s, 288, 288) for s in range(20, 56)]
     for k, m in enumerate(other):
-        y, x = (32 * v for v in divmod(k, 10))
+        y, x = (32 * v for v in divmod(k, 6))
         m[y : y + 128, x : x + 128] = base[y : y + 128, x : x + 128]
-    rows = [*enumerate(other), (500, base), (700, base[40:376, 40:376])]
-    made = image_copies.find_copies(spark.createDataFrame([(i, image_copies.to_pgm(m)) for i, m in rows], "id long, image binary")).collect()
-    assert {r["id"]: r["component_id"] for r in made} == {**{i: i for i in range(100)}, 500: 500, 700: 500}
+    rows = [*enumerate(other), (500, base), (700, base[40:248, 40:248])]
+    made = image_copies.find_copies(spark.createDataFrame([(i, image_copies.to_pgm(m)) for i, m in rows], "id long, image binary"), image_copies.Copies(least_share=0.5)).collect()
+    assert {r["id"]: r["component_id"] for r in made} == {**{i: i for i in range(36)}, 500: 500, 700: 500}
 
 
 # the pipeline
