@@ -309,15 +309,15 @@ def _confirmed(pairs: DataFrame, every: DataFrame, how: Copies) -> DataFrame:
 def find_copies(images: DataFrame, how: Copies = Copies(), key: str = "id", image: str = "image") -> DataFrame:
     """(id, n_corners, component_id, n_links): one row for each row of ``images`` (key, binary grey map).
 
-    ``component_id`` is the smallest id among copies, ``n_links`` the confirmed links of
-    the row's id. A null id stays apart.
+    ``component_id`` is the smallest id among copies, ``n_links`` the links of the row's
+    id: to the ids of equal images and to all ids of the classes confirmed as its copies. A null id stays apart.
     """
     scratch = Scratch(images.sparkSession, "images")
     every = scratch.keep(described(images, how, key, image), "described")
 
     # the smallest id stands for its class of equal images
     named = every.where("name IS NOT NULL AND id IS NOT NULL").select("name", "id")
-    least = scratch.keep(named.groupBy("name").agg(F.min("id").alias("b"), F.max("id").alias("top")), "classes")
+    least = scratch.keep(named.distinct().groupBy("name").agg(F.min("id").alias("b"), F.max("id").alias("top"), F.count(F.lit(1)).alias("k")), "classes")
     equal = named.join(least.where("b < top"), "name").where("id != b").select(F.col("id").alias("a"), "b")
     classes = every.join(least.select("name", F.col("b").alias("id")), ["name", "id"], "left_semi")
 
@@ -332,9 +332,14 @@ def find_copies(images: DataFrame, how: Copies = Copies(), key: str = "id", imag
 
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     near = scratch.keep(classes.select("id", "place", "words").join(ids, "id", "left_semi"), "near")
-    links = scratch.keep(_confirmed(pairs, near, how).union(equal).distinct(), "links")
+    confirmed = scratch.keep(_confirmed(pairs, near, how), "confirmed")
+    links = confirmed.union(equal).distinct()
     groups = components(links, scratch, "copies")
-    degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("n_links"))
+    # a class's links: its other ids and all ids of the classes it is linked with
+    both = confirmed.union(confirmed.select("b", "a"))
+    beyond = both.join(least.select(F.col("b"), "k"), "b").groupBy(F.col("a").alias("top")).agg(F.sum("k").alias("more"))
+    degree = least.select("name", "k", F.col("b").alias("top")).join(beyond, "top", "left").select("name", (F.col("k") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"))
+    degree = named.distinct().join(degree, "name").groupBy("id").agg(F.sum("n_links").alias("n_links"))
     out = every.select("id", "n").join(groups, "id", "left").join(degree, "id", "left")
     return out.select("id", F.col("n").alias("n_corners"), F.coalesce("component", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 

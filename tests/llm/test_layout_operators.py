@@ -358,6 +358,13 @@ def test_scales_agree():
     assert image_copies.agreeing(b, a, how) > 0.8 * len(b.y) and image_copies.agreeing(c, a, how) < how.least_agreeing
 
 
+def test_links_are_counted(spark):
+    base, other = texture(9), texture(10)
+    rows = [*[(i, base) for i in range(5)], (5, base[10:150, 10:140]), (6, base[:140, 20:150]), (7, other), (0, base)]
+    made = image_copies.find_copies(spark.createDataFrame([(i, image_copies.to_pgm(m)) for i, m in rows], "id long, image binary")).collect()
+    assert sorted((r["id"], r["n_links"]) for r in made) == sorted([(0, 6), *[(i, 6) for i in range(7)], (7, 0)])
+
+
 def test_noisy_copies(spark):
     how, pictures = image_copies.Copies(), [texture(s) for s in range(30, 38)]
     noise = np.random.default_rng(1).normal(0, 20, (8, *pictures[0].shape))
