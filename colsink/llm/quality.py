@@ -1,9 +1,9 @@
 """Line-first cleaning with column functions only.
 
 Each line of a text is judged by rules on symbols, navigation, shouting, punctuation and
-boilerplate. Lines that fail are removed. Boilerplate lines are no loss; of the other
-lines, a document that would lose more than half of the characters is rejected, as are
-very short and very repetitive ones.
+boilerplate. Lines that fail are removed, and a document that would lose more than half of
+its characters by them is rejected, as are very short and very repetitive ones. Every rule
+is a share of the line's own words, so lines of any length are judged alike.
 
 Counts are taken in the document's own row with arrays of hashes, so nothing is
 shuffled. Windows of words are compared by 64-bit hashes within a document.
@@ -25,32 +25,30 @@ SPACE = r"[\x20\x09-\x0D]"
 SYMBOL = "[#*$%&|<>]"
 SEPARATOR = "[|»›•·]"
 UPPER, LOWER = r"\p{Lu}", r"\p{Ll}"
-# a mark that closes a clause, before white space or at the end
-PUNCTUATION = r"[.!?,;:…][\"'”’»)]?([\x20\x09-\x0D]|$)"
-# fixed phrases, in lower case
-BOILERPLATE = "all rights reserved|licensed under|released under the|terms of use|terms of service|privacy policy|cookie policy|accept cookies|enable javascript|subscribe to our|sign up for our"
-BOILERPLATE_CHARS = 240  # of a line that can be one
+# a mark that closes a clause, before white space or at the end; those of scripts without spaces stand anywhere
+PUNCTUATION = r"[.!?,;:…؟،؛।॥։።][\"'”’»)]?([\x20\x09-\x0D]|$)|[。！？，、；：｡]"
+# a copyright line of any language, and fixed phrases in lower case
+NOTICE = r"(©|\(c\)|copyright)[\x20]*(19|20)[0-9][0-9]"
+BOILERPLATE = f"{NOTICE}|all rights reserved|licensed under|released under the|terms of use|terms of service|privacy policy|cookie policy|accept cookies|enable javascript|subscribe to our|sign up for our"
+BOILERPLATE_WORDS = 40  # of a line for each phrase found, at most
 
 
 def _count(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
 
 
-def is_boilerplate(line: Column) -> Column:
-    """A short line with one of the fixed phrases."""
-    return (F.length(line) <= BOILERPLATE_CHARS) & F.lower(line).rlike(BOILERPLATE)
-
-
 def line_fails(line: Column) -> Column:
-    """A line with a word breaks one of the other rules; lines without words never do."""
+    """A line with a word breaks one of the rules; lines without words never do."""
     words = _count(line, WORD)
+    small = F.lower(line)
+    plate = small.rlike(BOILERPLATE) & (_count(small, BOILERPLATE) * BOILERPLATE_WORDS >= words)
 
     def dense(pattern: str) -> Column:
         """Found more than once in five words; words are counted only where it is found at all."""
         return line.rlike(pattern) & (_count(line, pattern) * 5 > words)
 
     capitals = line.rlike(UPPER * 2) & (_count(line, UPPER) > _count(line, LOWER)) & (words >= 5)
-    return line.rlike(WORD) & (dense(SYMBOL) | dense(SEPARATOR) | dense("!!") | ~line.rlike(PUNCTUATION) | capitals)
+    return line.rlike(WORD) & (dense(SYMBOL) | dense(SEPARATOR) | dense("!!") | ~line.rlike(PUNCTUATION) | capitals | plate)
 
 
 def _let(value: Column, use) -> Column:
@@ -86,7 +84,8 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
 
     The columns of ``ADDED`` are added, in place of any that had their names. A null text
     counts as empty: no words, base_failed, not kept, clean_text empty. Each row is
-    judged by itself, so repeated rows agree; an empty table stays empty.
+    judged by itself, so repeated rows agree and there are no ties; a very long text is
+    judged whole, all its lines in its row; an empty table stays empty.
     """
     names = ["_row"]  # the columns as they came, so that none clashes with those made here
     t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
@@ -94,8 +93,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     one = docs.select(row, t.alias("_t"), F.split(t, "\n").alias("_lines"), F.transform(F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w)).alias("_words"))
     windows = F.transform(F.sequence(F.lit(0), F.size("_words") - WINDOW), lambda i: F.xxhash64(*[F.get("_words", i + k) for k in range(WINDOW)]))
     windows = F.when(F.size("_words") > WINDOW, windows).otherwise(F.array().cast("array<bigint>"))
-    two = one.select(*names, "_t", "_lines", F.size("_words").cast("long").alias("n_words"), windows.alias("_windows"), F.filter("_lines", lambda x: ~is_boilerplate(x)).alias("_own"))
-    two = two.withColumn("_kept", F.filter("_own", lambda x: ~line_fails(x)))
+    two = one.select(*names, "_t", "_lines", F.size("_words").cast("long").alias("n_words"), windows.alias("_windows"), F.filter("_lines", lambda x: ~line_fails(x)).alias("_kept"))
     full = F.filter("_lines", lambda x: x.rlike(WORD))
     three = two.select(
         *names,
@@ -106,7 +104,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         _repeat_words(F.col("_windows"), WINDOW).alias("n_repeat_words"),
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size("_kept")).cast("long").alias("n_lines_removed"),
-        F.length(F.array_join("_own", "")).cast("long").alias("_chars"),
+        (F.length("_t") - F.size("_lines") + 1).cast("long").alias("_chars"),
         F.array_join("_kept", "\n").alias("clean_text"),
         F.size("_kept").alias("_n_kept"),
     )
@@ -151,11 +149,11 @@ rep AS (SELECT r, count(DISTINCT i + k) AS n FROM
 l AS (SELECT r, unnest(string_split(t, chr(10))) AS x FROM d),
 j AS (SELECT r, x, regexp_matches(x, '{WORD}') AS has, {_sql_count("x", WORD)} AS nw, {_sql_count("x", SYMBOL)} AS ns,
         {_sql_count("x", SEPARATOR)} AS nv, {_sql_count("x", "!!")} AS nb, {_sql_count("x", UPPER)} AS nu, {_sql_count("x", LOWER)} AS nl,
-        regexp_matches(x, '{PUNCTUATION.replace(chr(39), chr(39) * 2)}') AS p, length(x) <= {BOILERPLATE_CHARS} AND regexp_matches(lower(x), '{BOILERPLATE}') AS plate, regexp_matches(x, '{UPPER * 2}') AS uu FROM l),
-f AS (SELECT r, x, has, plate,
-        has AND (ns * 5 > nw OR nv * 5 > nw OR nb * 5 > nw OR (uu AND nu > nl AND nw >= 5) OR NOT p) AS bad FROM j),
-g AS (SELECT r, count(*) AS n_lines, count(*) FILTER (bad OR plate) AS n_lines_removed,
-        coalesce(sum(length(x)) FILTER (bad AND NOT plate), 0)::BIGINT AS lost_chars, coalesce(sum(length(x)) FILTER (NOT plate), 0)::BIGINT AS chars, count(*) FILTER (has) - count(DISTINCT x) FILTER (has) AS n_dup_lines FROM f GROUP BY r),
+        regexp_matches(x, '{PUNCTUATION.replace(chr(39), chr(39) * 2)}') AS p, {_sql_count("lower(x)", BOILERPLATE)} AS np, regexp_matches(x, '{UPPER * 2}') AS uu FROM l),
+f AS (SELECT r, x, has,
+        has AND (ns * 5 > nw OR nv * 5 > nw OR nb * 5 > nw OR (uu AND nu > nl AND nw >= 5) OR NOT p OR (np > 0 AND np * {BOILERPLATE_WORDS} >= nw)) AS bad FROM j),
+g AS (SELECT r, count(*) AS n_lines, count(*) FILTER (bad) AS n_lines_removed,
+        coalesce(sum(length(x)) FILTER (bad), 0)::BIGINT AS lost_chars, coalesce(sum(length(x)), 0)::BIGINT AS chars, count(*) FILTER (has) - count(DISTINCT x) FILTER (has) AS n_dup_lines FROM f GROUP BY r),
 m AS (SELECT doc_id, len(ws)::BIGINT AS n_words, (length(t) - {_sql_count("t", SPACE)})::BIGINT AS word_chars, {_sql_count("t", SYMBOL)}::BIGINT AS n_symbols,
         n_dup_lines::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, n_lines, n_lines_removed, lost_chars, chars
       FROM d JOIN w USING (r) JOIN g USING (r) LEFT JOIN rep USING (r))
