@@ -3,15 +3,23 @@
 The base kinds (assign, access, hex) follow their patterns alone. The method adds
 spans only where the decoded bytes have the structure of a credential:
 
-* ``jwt``: three dotted base64url parts whose first decodes to a JSON object with ``alg``;
-* ``key_der``: base64 or hex of a DER private key, every nested length consistent;
+* ``jwt``: three dotted base64url parts whose first decodes to a JSON object that names an algorithm, and a signature;
+* ``key_der``: base64 or hex of a DER private key, plain or encrypted, every nested length consistent;
 * ``key_ssh``: base64 of an OpenSSH private key, every length prefix consistent.
+
+A key in base64 may be folded into lines, with indentation, or with line ends written as
+escapes, and ends where its own head says, whatever base64 follows.
+
+Defined cases: null and empty texts have no spans; repeated rows each get theirs; spans
+that begin at one place (ties) are ordered by kind as listed; very long texts are scanned
+whole; an empty table stays empty. A column that has the result's name is replaced, all
+other columns stay as they are.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
+import bisect
 import json
 import re
 
@@ -28,95 +36,181 @@ _ASSIGN = re.compile(r"(?:(?i:password|passwd|secret|token|api_?key))[\"']?\x20*
 # A shorter run fails at its start and, being shorter still, from within; so the least length can stand in the pattern.
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*+")
-# base64 that may be folded into lines, as in PEM; M (0x30) starts a DER sequence and b3BlbnNzaC1rZXk the SSH format
-_B64 = re.compile(r"(?<![A-Za-z0-9+/])(?:M[A-Za-z0-9+/]|b3BlbnNzaC1rZXk)(?:\r?\n?[A-Za-z0-9+/]){38,}+(?:\r?\n?=){0,2}")
-_HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])30(?:[0-9A-Fa-f]{2}){40,}+(?![0-9A-Fa-f])")
+# e[wy] starts the base64 of an opening brace, with white space or a quotation mark behind it
+_JWT = re.compile(r"(?<![A-Za-z0-9_-])e[wy][A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++")
+# base64 of a DER sequence's tag and length, or of the SSH format's first bytes, where a run of base64 begins or a
+# line does, also one whose end is written as an escape
+_KEY = re.compile(r"(?:(?<![A-Za-z0-9+/])|(?<=\\n)|(?<=\\r))(?:M[A-P][A-Za-z0-9+/]{10}|b3BlbnNzaC1rZXkt)")
+# one line of base64, and what may stand between two: line ends, plain or escaped, and indentation
+_LINE = re.compile(r"[A-Za-z0-9+/]++")
+_FOLD = re.compile(r"(?:\\[rn]|[\r\n])+[ \t]*")
+_PAD = re.compile(r"(?:(?:(?:\\[rn]|[\r\n])+[ \t]*)?=){1,2}")
+_HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{40,}+")
 _SSH_MAGIC = b"openssh-key-v1\x00"
 
 
-def _unbase64(text: str) -> bytes | None:
-    """Decoded bytes of standard base64, white space and missing padding allowed."""
-    packed = re.sub(r"\s|=", "", text)
-    if len(packed) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(packed + "=" * (-len(packed) % 4), validate=True)
-    except binascii.Error:
+class Base64:
+    """Bytes of a run of base64 that are decoded only where they are read."""
+
+    def __init__(self, packed: str, at: int = 0):
+        self.packed, self.at = packed, at
+        self.size = (len(packed) - at) * 3 // 4
+
+    def read(self, i: int, j: int) -> bytes:
+        first, last = i // 3, -(-min(j, self.size) // 3)
+        part = self.packed[self.at + 4 * first : self.at + 4 * last]
+        part = part[: len(part) - (len(part) % 4 == 1)]
+        return base64.b64decode(part + "=" * (-len(part) % 4))[i - 3 * first : j - 3 * first]
+
+
+class Hex(Base64):
+    """The same of a run of hexadecimal digits."""
+
+    def __init__(self, packed: str):
+        self.packed, self.size = packed, len(packed) // 2
+
+    def read(self, i: int, j: int) -> bytes:
+        return bytes.fromhex(self.packed[2 * i : 2 * min(j, self.size)])
+
+
+Item = tuple[int, int, int]  # tag, where the content begins and ends
+
+
+def der_item(data: Base64, at: int, end: int) -> Item | None:
+    """The DER item at a place, if it fits before ``end``."""
+    head = data.read(at, min(at + 6, end))
+    width = head[1] & 0x7F if len(head) > 1 and head[1] >= 0x80 else 0
+    if len(head) < 2 + width or head[1] == 0x80 or width > 4:
         return None
+    start = at + 2 + width
+    stop = start + (int.from_bytes(head[2 : 2 + width], "big") if width else head[1])
+    return (head[0], start, stop) if stop <= end else None
 
 
-def der_items(data: bytes) -> list[tuple[int, bytes]] | None:
-    """(tag, content) of DER items that fill ``data`` exactly, or None."""
-    out, at = [], 0
-    while at < len(data):
-        if at + 2 > len(data):
-            return None
-        tag, size = data[at], data[at + 1]
-        at += 2
-        if size >= 0x80:
-            width = size & 0x7F
-            if not 1 <= width <= 4 or at + width > len(data):
-                return None
-            size = int.from_bytes(data[at : at + width], "big")
-            at += width
-        if at + size > len(data):
+def der_items(data: Base64, at: int, end: int, most: int = 10) -> list[Item] | None:
+    """The DER items that fill a span exactly, if they are ``most`` at the utmost; no key has more."""
+    out: list[Item] = []
+    while at < end:
+        item = der_item(data, at, end) if len(out) < most else None
+        if item is None:
             return None
-        out.append((tag, data[at : at + size]))
-        at += size
+        out.append(item)
+        at = item[2]
     return out
 
 
-def is_der_key(data: bytes | None) -> bool:
-    """PKCS#1, PKCS#8 or SEC1 private key by its nested items."""
-    if not data or data[0] != 0x30:
-        return False
-    outer = der_items(data)
-    inner = der_items(outer[0][1]) if outer and len(outer) == 1 else None
-    if not inner or len(inner) < 2 or inner[0][0] != 0x02 or inner[0][1] not in (b"\x00", b"\x01"):
-        return False
-    tags = [tag for tag, _ in inner]
-    if tags == [0x02] * 9:  # RSA: version and eight integers
-        return len(inner[1][1]) >= 32
-    if tags[:3] == [0x02, 0x30, 0x04]:  # PKCS#8: version, algorithm, key
-        algorithm = der_items(inner[1][1])
-        return bool(algorithm) and algorithm[0][0] == 0x06
-    return tags[:2] == [0x02, 0x04] and len(inner[1][1]) in (28, 32, 48, 66)  # SEC1
-
-
-def is_ssh_key(data: bytes | None) -> bool:
-    """OpenSSH private key: magic, three strings, a count, then one string for each."""
-    if not data or not data.startswith(_SSH_MAGIC):
-        return False
+#: Object identifiers of password-based encryption begin with one of these (fixed values): PKCS#5 and PKCS#12.
+_ENCRYPTED = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
+
+
+def der_key_size(data: Base64) -> int | None:
+    """Bytes of the private key that ``data`` begins with, by its nested items: PKCS#1, PKCS#8 (plain or
+    encrypted), SEC1 or DSA. Its lengths alone are read, so a look costs the same whatever it declares."""
+    outer = der_item(data, 0, data.size)
+    inner = der_items(data, outer[1], outer[2]) if outer and outer[0] == 0x30 else None
+    if not inner or len(inner) < 2:
+        return None
+    tags = [tag for tag, _, _ in inner]
+    sizes = [stop - start for _, start, stop in inner]
+
+    def algorithm(item: Item) -> bytes:
+        name = der_item(data, item[1], item[2])
+        return data.read(name[1], min(name[2], name[1] + 9)) if name and name[0] == 0x06 else b""
+
+    if tags == [0x30, 0x04]:  # encrypted PKCS#8: algorithm, encrypted key
+        good = sizes[1] >= 16 and algorithm(inner[0]).startswith(_ENCRYPTED)
+    elif tags[0] != 0x02 or data.read(inner[0][1], inner[0][2]) not in (b"\x00", b"\x01"):
+        good = False
+    elif tags[:9] == [0x02] * 9:  # RSA: version, eight integers and perhaps more primes
+        good = tags[9:] in ([], [0x30]) and sizes[1] >= 32
+    elif tags == [0x02] * 6:  # DSA: version, three parameters, both keys
+        good = sizes[1] >= 64
+    elif tags[:3] == [0x02, 0x30, 0x04]:  # PKCS#8: version, algorithm, key
+        good = bool(algorithm(inner[1]))
+    else:
+        good = tags[:2] == [0x02, 0x04] and sizes[1] in (28, 32, 48, 66)  # SEC1
+    return outer[2] if good else None
+
+
+def ssh_key_size(data: Base64) -> int | None:
+    """Bytes of the OpenSSH private key that ``data`` begins with: magic, three strings, a count, then a string for
+    each public key and one for the private ones. None where a length does not fit."""
     at = len(_SSH_MAGIC)
+    if data.read(0, at) != _SSH_MAGIC:
+        return None
 
     def word() -> int | None:
         nonlocal at
         at += 4
-        return int.from_bytes(data[at - 4 : at], "big") if at <= len(data) else None
+        return int.from_bytes(data.read(at - 4, at), "big") if at <= data.size else None
 
     def string() -> bool:
         nonlocal at
         size = word()
         at += size or 0
-        return size is not None and at <= len(data)
+        return size is not None and at <= data.size
 
     if not all(string() for _ in range(3)):
-        return False
+        return None
     count = word()
-    return bool(count) and count <= 64 and all(string() for _ in range(count + 1)) and at == len(data)
+    return at if count and count <= 64 and all(string() for _ in range(count + 1)) else None
+
+
+def _run(text: str, start: int) -> tuple[str, list[int], list[int], int]:
+    """A run of base64 across folds: its characters, where each line begins among them and in the text, and its end."""
+    parts, among, places, at, got, end = [], [], [], start, 0, start
+    while m := _LINE.match(text, at):
+        parts.append(m[0])
+        among.append(got)
+        places.append(at)
+        got, end = got + len(m[0]), m.end()
+        fold = _FOLD.match(text, end)
+        if not fold:
+            break
+        at = fold.end()
+    return "".join(parts), among, places, end
+
+
+def _keys(text: str) -> list[Span]:
+    """Private keys in base64, each cut at the size that its own head declares; a run is unfolded once."""
+    found: list[Span] = []
+    run, until, done = None, -1, -1
+    for m in _KEY.finditer(text):
+        start = m.start()
+        if start < done:
+            continue
+        if start >= until:
+            run = _run(text, start)
+            until = run[3]
+        packed, among, places, _ = run
+        line = bisect.bisect_right(places, start) - 1
+        at = among[line] + start - places[line]
+        data = Base64(packed, at)
+        kind, size = ("key_ssh", ssh_key_size(data)) if m[0][0] == "b" else ("key_der", der_key_size(data))
+        if size is None:
+            continue
+        last = at - (-size * 4 // 3)  # characters that hold ``size`` bytes
+        line = bisect.bisect_left(among, last) - 1
+        end = places[line] + last - among[line]
+        pad = _PAD.match(text, end)
+        done = pad.end() if pad else end
+        found.append((kind, start, done, 1.0, False))
+    return found
 
 
 def is_signed_token(token: str) -> bool:
-    """The header of a dotted token is a JSON object that names an algorithm."""
-    head = token.partition(".")[0]
-    if len(head) % 4 == 1:
+    """The header of a dotted token is a JSON object that names an algorithm, and there is a signature.
+
+    The algorithm ``none`` stands for an unsigned token, which is no secret.
+    """
+    head, _, rest = token.partition(".")
+    if len(head) % 4 == 1 or not rest.rpartition(".")[2]:
         return False
     try:
         header = json.loads(base64.urlsafe_b64decode(head + "=" * (-len(head) % 4)))
     except (ValueError, RecursionError):
         return False
-    return isinstance(header, dict) and isinstance(header.get("alg"), str)
+    return isinstance(header, dict) and isinstance(header.get("alg"), str) and header["alg"].lower() not in ("", "none")
 
 
 def find_secrets(text: str) -> list[Span]:
@@ -128,16 +222,14 @@ def find_secrets(text: str) -> list[Span]:
     if "AKIA" in text:
         found += [("access", *m.span(), 0.9, True) for m in _ACCESS.finditer(text)]
     found += [("hex", *m.span(), 0.4, True) for m in _HEX.finditer(text)]
-    if "eyJ" in text:
+    if "ey" in text or "ew" in text:
         found += [("jwt", *m.span(), 1.0, False) for m in _JWT.finditer(text) if is_signed_token(m[0])]
     if len(text) >= 40:
-        for m in _B64.finditer(text):
-            data = _unbase64(m[0])
-            if is_der_key(data):
-                found.append(("key_der", *m.span(), 1.0, False))
-            elif is_ssh_key(data):
-                found.append(("key_ssh", *m.span(), 1.0, False))
-        found += [("key_der", *m.span(), 1.0, False) for m in _HEX_KEY.finditer(text) if is_der_key(bytes.fromhex(m[0]))]
+        found += _keys(text)
+        for m in _HEX_KEY.finditer(text):
+            size = der_key_size(Hex(m[0]))
+            if size is not None:
+                found.append(("key_der", m.start(), m.start() + 2 * size, 1.0, False))
     return in_order(found, KINDS)
 
 
