@@ -9,6 +9,11 @@ The network is trained on the driver with Adam from a bounded sample of labelled
 ``per_class`` documents of each label, weighted back to the labels' own shares, none
 longer than ``longest`` bytes. Scoring is a map over all rows with the weights broadcast,
 a few thousand numbers whatever the data's size.
+
+Defined cases: a null or empty text gets the score of no bytes, a null id is held out,
+repeated rows get equal scores, very long texts are read whole in bounded blocks, an empty
+table stays empty. A score depends on the row's own text alone, wherever the row lies. Only
+the id and the text are read, so other columns' names can't clash.
 """
 
 from __future__ import annotations
@@ -56,35 +61,44 @@ class ByteCnn:
         """Each place's response to each byte."""
         self.tables = np.einsum("bs,wsf->wbf", self.vectors, self.filters).astype("f4")
 
+    def layout(self, data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Cells by document, the bytes each cell's places read (a row each), and which places count."""
+        width = len(self.filters)
+        places = np.maximum(1, sizes - width + 1)
+        per = -(-places // self.cell)
+        laid = np.zeros((int(per.sum()), self.cell + width - 1), np.uint8)
+        live = np.zeros((len(laid), self.cell), bool)
+        at = row = 0
+        for n, cells, count in zip(sizes.tolist(), per.tolist(), places.tolist()):
+            own = np.zeros(cells * self.cell + width - 1, np.uint8)
+            own[:n] = data[at : at + n]
+            laid[row : row + cells] = np.lib.stride_tricks.sliding_window_view(own, laid.shape[1])[:: self.cell]
+            live[row : row + cells].reshape(-1)[:count] = True
+            at, row = at + n, row + cells
+        return per, laid, live
+
     def cells(self, data: np.ndarray, sizes: np.ndarray, where: bool = False) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
         """Largest response of each filter in each cell, its place if asked for, and cells by document.
 
-        ``data`` has the documents' bytes one after another; each is laid out from a cell's
-        start, and places past its end don't count.
+        ``data`` has the documents' bytes one after another. A place is one where a filter
+        reads bytes of its own document alone; a text shorter than a filter has one place,
+        with zeros behind it.
         """
         width, n_filters = len(self.tables), self.tables.shape[2]
-        per = np.maximum(1, -(-sizes // self.cell))
-        starts = np.concatenate([[0], np.cumsum(per)[:-1]]) * self.cell
-        laid = np.zeros(int(per.sum()) * self.cell + width, np.uint8)
-        live = np.zeros(len(laid) - width, bool)
-        at = 0
-        for s, n in zip(starts.tolist(), sizes.tolist()):
-            laid[s : s + n] = data[at : at + n]
-            live[s : s + n] = True
-            at += n
+        per, laid, live = self.layout(data, sizes)
         total = int(per.sum())
         best = np.empty((total, n_filters), "f4")
         place = np.empty((total, n_filters), np.int32) if where else None
         step = 64
         take, acc = np.empty((step * self.cell, n_filters), "f4"), np.empty((step * self.cell, n_filters), "f4")
         for c in range(0, total, step):
-            n = (min(total, c + step) - c) * self.cell
-            first = c * self.cell
-            np.take(self.tables[0], laid[first : first + n], axis=0, out=acc[:n], mode="clip")
+            part = laid[c : c + step]
+            n = len(part) * self.cell
+            np.take(self.tables[0], part[:, : self.cell].ravel(), axis=0, out=acc[:n], mode="clip")
             for w in range(1, width):
-                np.take(self.tables[w], laid[first + w : first + w + n], axis=0, out=take[:n], mode="clip")
+                np.take(self.tables[w], part[:, w : w + self.cell].ravel(), axis=0, out=take[:n], mode="clip")
                 acc[:n] += take[:n]
-            dead = np.flatnonzero(~live[first : first + n])
+            dead = np.flatnonzero(~live[c : c + step].ravel())
             if len(dead):
                 acc[dead] = -1e9
             shaped = acc[:n].reshape(-1, self.cell, n_filters)
@@ -142,17 +156,13 @@ def _gradients(net: ByteCnn, data: np.ndarray, sizes: np.ndarray, labels: np.nda
     g_cell[best <= 0] = 0
     # back to bytes: each cell and filter has one place
     width = len(net.tables)
-    laid = np.zeros(len(best) * net.cell + width, np.uint8)
-    at = 0
-    for s, n in zip((firsts * net.cell).tolist(), sizes.tolist()):
-        laid[s : s + n] = data[at : at + n]
-        at += n
+    laid = net.layout(data, sizes)[1]
     cell, flt = np.nonzero(g_cell)
-    where = cell * net.cell + place[cell, flt]
+    where = place[cell, flt]
     value = g_cell[cell, flt]
     g_vectors, g_filters = np.zeros_like(net.vectors), np.zeros_like(net.filters)
     for w in range(width):
-        table = np.bincount(laid[where + w].astype(np.int64) * f + flt, value, 256 * f).reshape(256, f).astype("f4")
+        table = np.bincount(laid[cell, where + w].astype(np.int64) * f + flt, value, 256 * f).reshape(256, f).astype("f4")
         g_vectors += table @ net.filters[w].T
         g_filters[w] = net.vectors.T @ table
     return [g_vectors, g_filters, g_cell.sum(axis=0).astype("f4"), g_linear, np.float32(g_bias)]
@@ -204,11 +214,12 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(key.cast("string"), "UTF-8")) % 5 == 0, F.lit(True))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = 1200, longest: int = 200_000) -> tuple[list[bytes], list[int], list[float]]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = 1200, longest: int = 32_768) -> tuple[list[bytes], list[int], list[float]]:
     """Texts, labels and weights of at most ``per_class`` rows of each label outside the held-out fold.
 
-    Rows are chosen by a hash of their id. The chosen ids are few by their bound, so they
-    are broadcast and no text is shuffled.
+    Rows are chosen by a hash of their id; of several texts of one id, the least is taken.
+    The chosen ids are few by their bound, so they are broadcast and only their texts move.
+    At most ``2 * per_class * longest`` bytes reach the driver; longer texts train nothing.
     """
     named = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     named = named.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
@@ -222,7 +233,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "quality",
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("label", T.IntegerType())])
     chosen = F.broadcast(spark.createDataFrame(ids, schema))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("text")).where(F.octet_length("text") <= longest).join(chosen, "doc_id").dropDuplicates(["doc_id"]).collect()
+    rows = docs.select("doc_id", text.alias("text")).where(F.octet_length("text") <= longest).join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: r["doc_id"])
     share = {v: counts[v] / max(1, sum(r["label"] == v for r in rows)) for v in counts}
     return [r["text"].encode() for r in rows], [r["label"] for r in rows], [share[r["label"]] for r in rows]
