@@ -315,6 +315,37 @@ def test_chunks_cover_whole_texts():
     assert both[0] == net.score(long, np.array([5000]))[0] and both[1] == net.score(changed, np.array([5000]))[0]
 
 
+def test_scores_do_not_depend_on_neighbours():
+    rng = np.random.default_rng(4)
+    net = byte_cnn.ByteCnn.fresh(seed=3)
+    net.linear = rng.normal(0, 1, len(net.linear)).astype("f4")
+    net.prepare()
+    texts = [rng.integers(32, 127, n).astype(np.uint8) for n in range(521)]
+    alone = np.array([net.score(t, np.array([len(t)]))[0] for t in texts])
+    for order in (np.arange(521), rng.permutation(521)):
+        together = net.score(np.concatenate([texts[i] for i in order]), np.array([len(texts[i]) for i in order]))
+        assert np.abs(together - alone[order]).max() < 1e-6
+    # every byte is read by a place that counts
+    per, laid, live = net.layout(np.concatenate(texts), np.array([len(t) for t in texts]))
+    assert live.sum() == sum(max(1, n - 6) for n in range(521)) and live.any(axis=1).all()
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    r = random.Random(12)
+    df = documents(spark, [prose(r, 200)[:n] for n in (0, 1, 6, 7, 250, 253, 255, 256, 257, 262, 263, 511, 512, 513) for _ in range(6)])
+    net = byte_cnn.ByteCnn.fresh(seed=3)
+    net.linear[:] = 0.3
+    scores = [sorted((x["doc_id"], round(x["score"], 6)) for x in byte_cnn.scored(df.repartition(n), net).collect()) for n in (1, 7)]
+    assert scores[0] == scores[1]
+
+
+def test_sample_of_repeated_ids(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c" * 50), (3, "d")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in (1, 2, 3)], "doc_id long, quality int")
+    every = [byte_cnn.labelled_sample(docs.repartition(n), labels, longest=40) for n in (1, 3, 5)]
+    assert every[0] == every[1] == every[2] and b"b" not in every[0][0] and b"c" * 50 not in every[0][0]
+
+
 def test_classifier(spark, tiny, tmp_path):
     out = byte_cnn.op10_byte_cnn(spark, tiny.replace("sf0.001", "sf0.01"))
     made = {r["doc_id"]: r for r in out.collect()}

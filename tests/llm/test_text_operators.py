@@ -161,6 +161,11 @@ def quality_texts():
         "a b c d e f g h " * 3 + prose(r, 50),
         "\t".join(prose(r, 1) for _ in range(30)),
         "😀 é " * 12 + prose(r, 20),
+        prose(r, 25) + "\nAll rights reserved." * 40,
+        clean + "\n© 2019 Someone.\nCopyright 2020, someone else, inc.",
+        prose(r, 30) + " The terms of use are told of in " + prose(r, 60) + "\nAll rights reserved, " + prose(r, 50),
+        "漢字。 " + " ".join(f"漢{i}字，" for i in range(25)),
+        (prose(r, 10) + " all rights reserved. ") * 60,
     ]
 
 
@@ -171,7 +176,8 @@ def test_quality_counts_equal_brute_force(spark):
         r = made[i]
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) == brute_quality(t)
     kept = {i for i, r in made.items() if r["kept"]}
-    assert {3, 4} <= kept and not kept & {0, 1, 2, 5, 7, 8, 9, 10, 11}
+    assert {3, 4, 17, 18, 19} <= kept and not kept & {0, 1, 2, 5, 7, 8, 9, 10, 11, 16, 20}
+    assert made[17]["clean_text"] == texts[3] and made[16]["lost_chars"] == 40 * len("All rights reserved.") and made[18]["lost_chars"] == 0
     assert made[4]["clean_text"] == texts[3] and made[4]["n_lines_removed"] == 1
 
 
@@ -239,7 +245,7 @@ def test_base_spans_equal_brute_force():
         assert [s[:3] for s in secret_scan.find_secrets(text) if s[4]] == [s[:3] for s in brute_secrets(text)], text
 
 
-@pytest.mark.parametrize("piece", ["a", "1", "1.", "@", "a@", "+1", "token", "AKIA", "f", "a.b@", "1 ", "M", "eyJ", "A" * 7 + "\n"])
+@pytest.mark.parametrize("piece", ["a", "1", "1.", "@", "a@", "+1", "token", "AKIA", "f", "a.b@", "1 ", "M", "eyJ", "A" * 7 + "\n", "MIIEowIBAAKC\n", "MIIE\n", "b3BlbnNzaC1rZXkt\n"])
 def test_scans_are_linear(piece):
     import time
 
@@ -257,6 +263,25 @@ def test_added_personal_data():
     assert not pii.find_pii("GB83 WEST 1234 5698 7654 32 and 123-45-6789 and 3.141.59 and words only")
     near, far = pii.find_pii("card 4111111111111111")[0], pii.find_pii("number 4111111111111111")[0]
     assert near[3] > far[3]
+    assert not pii.find_pii("the classname 123-45-6789") and pii.find_pii("SSNs: 123-45-6789")
+    for word, kind, value in (("hotel", "phone", "+1 555 123 4567"), ("ship", "ip", "10.0.0.1"), ("ghost", "ip", "10.0.0.1"), ("discard", "card", "4111111111111111")):
+        assert pii.find_pii(f"{word} {value}")[0][:1] + (pii.find_pii(f"{word} {value}")[0][3],) == (kind, pii.PRIOR[kind])
+    edge = " " * 37 + "10.0.0.1"  # the word before goes on beyond the window
+    assert pii.find_pii("ship" + edge)[0][3] == pii.find_pii("x ip" + " " * 60 + "10.0.0.1")[0][3] < pii.find_pii("s ip" + edge)[0][3]
+
+
+def test_spans_of_odd_tables(spark, tmp_path):
+    texts = [None, "", "mail a@b.co " + "word " * 60_000 + " 10.0.0.1 token=abcdef12", "a@b.co"]
+    df = documents(spark, texts).unionAll(documents(spark, texts[3:])).withColumns({"pii": F.lit("clash"), "secrets": F.lit("clash"), "spans": F.lit("clash")})
+    folder = table(spark, tmp_path, df)
+    made = pii.op9_checked_spans(spark, folder).collect()
+    assert sorted((r["doc_id"], r["n_email"], r["n_ip"], r["n_spans"]) for r in made) == [(0, 0, 0, 0), (0, 1, 0, 1), (1, 0, 0, 0), (2, 1, 1, 2), (3, 1, 0, 1)]
+    assert {r["scores"] for r in made if r["doc_id"] == 3} == {"0.8"}
+    made = secret_scan.op8_parsed_secrets(spark, folder).collect()
+    assert sorted((r["doc_id"], r["n_assign"]) for r in made) == [(0, 0), (0, 0), (1, 0), (2, 1), (3, 0)]
+    out = pii.with_pii(df)
+    assert sorted(out.columns) == sorted(df.columns) and {r["secrets"] for r in out.collect()} == {"clash"}
+    assert pii.op9_checked_spans(spark, table(spark, tmp_path / "none", df.limit(0))).count() == 0
 
 
 def der(tag, body):
@@ -268,25 +293,42 @@ def der(tag, body):
 def keys():
     rsa = der(0x30, b"".join(der(2, b"\0" if i == 0 else bytes([1]) * 40) for i in range(9)))
     pkcs8 = der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x01\x01")) + der(4, rsa))
+    dsa = der(0x30, der(2, b"\0") + b"".join(der(2, bytes([1]) * n) for n in (129, 21, 129, 129, 20)))
+    locked = der(0x30, der(0x30, der(6, bytes.fromhex("2a864886f70d01050d")) + der(0x30, b"")) + der(4, bytes(64)))
+    edwards = der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2b\x65\x70")) + der(4, der(4, bytes(32))))
     string = lambda b: len(b).to_bytes(4, "big") + b
     ssh = b"openssh-key-v1\0" + string(b"none") * 2 + string(b"") + (1).to_bytes(4, "big") + string(b"pub") + string(b"private" * 9)
-    return rsa, pkcs8, ssh
+    return rsa, pkcs8, ssh, dsa, locked, edwards
 
 
 def test_added_secrets():
-    rsa, pkcs8, ssh = keys()
-    for data, kind in ((rsa, "key_der"), (pkcs8, "key_der"), (ssh, "key_ssh")):
+    rsa, *others = keys()
+    certificate = der(0x30, der(0x30, der(6, b"\x2a\x86\x48")) + der(4, bytes(64)))
+    assert not [s for s in secret_scan.find_secrets(base64.b64encode(certificate).decode()) if not s[4]]
+    for data in (rsa, *others):
+        kind = "key_ssh" if data.startswith(b"openssh") else "key_der"
         plain = base64.b64encode(data).decode()
         folded = "\n".join(plain[i : i + 64] for i in range(0, len(plain), 64))
         for text in (plain, folded):
             assert [s[0] for s in secret_scan.find_secrets(f"-----BEGIN-----\n{text}\n-----END-----") if not s[4]] == [kind]
         broken = base64.b64encode(data[:-1]).decode()
         assert not [s for s in secret_scan.find_secrets(f"<{broken}>") if not s[4]]
+        for text in (plain + "\nword and more", folded.replace("\n", "\\n") + "\\nmore", folded.replace("\n", "\n    ") + "\n    more", folded.replace("\n", "\r\n")):
+            found = [s for s in secret_scan.find_secrets(f"key:\\n{text}") if not s[4]]
+            assert [s[0] for s in found] == [kind] and found[0][1] == 6 and re.search("more|$", f"key:\\n{text}"[found[0][2] :])[0] in ("more", "")
+            body = re.sub(r"\\[nr]|\s|=", "", f"key:\\n{text}"[found[0][1] : found[0][2]])
+            assert body == plain.rstrip("=")
     assert "key_der" in [s[0] for s in secret_scan.find_secrets(rsa.hex())]
+    spans = [s for s in secret_scan.find_secrets(rsa.hex() + "00ff") if s[0] == "key_der"]
+    assert [s[1:3] for s in spans] == [(0, 2 * len(rsa))]
     head = base64.urlsafe_b64encode(json.dumps({"alg": "HS256"}).encode()).decode().rstrip("=")
     other = base64.urlsafe_b64encode(json.dumps({"typ": "x"}).encode()).decode().rstrip("=")
     assert [s[0] for s in secret_scan.find_secrets(f"{head}.e30.c2ln") if not s[4]] == ["jwt"]
     assert not secret_scan.find_secrets(f"{other}.e30.c2ln")
+    for text in ('{ "alg": "HS256"}', '{\n "alg": "ES256"}', '{"alg":"none"}'):
+        head = base64.urlsafe_b64encode(text.encode()).decode().rstrip("=")
+        assert [s[0] for s in secret_scan.find_secrets(f"Bearer {head}.e30.c2ln")] == ["jwt"] * ("none" not in text)
+        assert not secret_scan.find_secrets(f"{head}.e30.")
 
 
 @pytest.mark.parametrize("module,spans,kinds,find,brute", [(pii, pii.pii_spans, pii.BASE_KINDS, pii.find_pii, brute_pii), (secret_scan, secret_scan.secret_spans, secret_scan.BASE_KINDS, secret_scan.find_secrets, brute_secrets)])
