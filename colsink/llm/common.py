@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import math
 import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -44,12 +43,14 @@ def shuffle_width(spark: SparkSession) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    It is what the session has in ``spark.checkpoint.dir``; only where that is
-    unset, as in tests on one machine, a temporary folder takes its place.
+    It is what the session has in ``spark.checkpoint.dir``; only where that is unset and
+    the session runs in one process, as in tests, a temporary folder takes its place.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="colsink-"))
         named = sc.getCheckpointDir()
     return named.rstrip("/")
@@ -91,54 +92,37 @@ class Scratch:
             self._delete(self.root)
 
 
-def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``f`` applied to each record batch; ``f`` sees one bounded batch at a time."""
+def buckets_for(rows: int) -> int:
+    """Buckets that a group's rows are numbered in: about the root of the table's rows, as a power of two.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield f(batch)
-
-    return df.mapInArrow(run, schema)
-
-
-def by_bytes(batch: pa.RecordBatch, col: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose ``col`` has about ``most`` bytes each, a row at least."""
-    import numpy as np
-
-    column = batch.column(col)
-    if column.nbytes <= most or batch.num_rows < 2:
-        yield batch
-        return
-    sizes = np.asarray(pa.compute.binary_length(column.cast(pa.large_binary())).fill_null(0), dtype=np.int64)
-    ends = np.cumsum(sizes)
-    at = 0
-    while at < len(sizes):
-        base = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, base + most, side="right")))
-        yield batch.slice(at, to - at)
-        at = to
-
-
-#: Buckets that a group's rows are numbered in; fixed, so that numbers don't depend on the session.
-RANK_BUCKETS = 1024
+    A hot group then leaves no more rows in a bucket than buckets in the group. It follows
+    the data alone, so numbers don't depend on the session.
+    """
+    return 1 << max(0, math.ceil(math.log2(max(1, rows)) / 2))
 
 
-def global_rank(df: DataFrame, group: list[str], order: list[Column], salt: Column, buckets: int = RANK_BUCKETS) -> DataFrame:
-    """Add ``rank``: a number of each row in its group, gapless from 0.
+def running_total(df: DataFrame, group: list[str], order: list[Column], salt: Column, value: Column, into: str, buckets: int | None = None) -> DataFrame:
+    """Add ``into``: the total of ``value`` (a long) over the rows before this one in its group.
 
     Two levels, so that a group that holds most rows is still dealt over
-    ``buckets`` tasks: rows are numbered within (group, bucket), and the buckets'
-    counts, partially aggregated, give each bucket its first number. ``salt``
+    ``buckets`` tasks: rows are added up within (group, bucket), and the buckets'
+    totals, partially aggregated, give each bucket its first number. ``salt``
     decides the bucket and must be deterministic. Group columns must not be null.
     """
+    buckets = buckets or buckets_for(df.count())
     by = [*group, "_bucket"]
-    dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(salt), F.lit(buckets)).cast("int"))
-    counts = dealt.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    dealt = df.withColumns({"_bucket": F.pmod(F.xxhash64(salt), F.lit(buckets)).cast("int"), "_value": value.cast("long")})
+    totals = dealt.groupBy(*by).agg(F.sum("_value").alias("_total"))
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = counts.select(*by, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    local = dealt.withColumn("_local", F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long") - 1)
-    return local.join(firsts, by).withColumn("rank", F.col("_first") + F.col("_local")).select(*df.columns, "rank")
+    firsts = totals.select(*by, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_first"))
+    inside = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = dealt.withColumn("_local", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+    return local.join(firsts, by).withColumn(into, F.col("_first") + F.col("_local")).select(*df.columns, into)
+
+
+def global_rank(df: DataFrame, group: list[str], order: list[Column], salt: Column, buckets: int | None = None) -> DataFrame:
+    """Add ``rank``: a number of each row in its group, gapless from 0."""
+    return running_total(df, group, order, salt, F.lit(1), "rank", buckets)
 
 
 def never_null(col: Column) -> Column:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colsink.llm.common import Scratch, global_rank, read_table
+from colsink.llm.common import Scratch, buckets_for, global_rank, read_table
 from colsink.llm.tokenizing import END_ID, WORD_BPE, crc32_ids, encoder, id_lists, small_batches, texts_in_parts, vocabulary
 
 CAPACITY = 2048
@@ -265,7 +265,7 @@ def pack(pieces: DataFrame, key: list[str], length: str = "length", capacity: in
     by = [F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(key)]
     order = [F.col(f"_k{i}") for i in range(len(key))]
     narrow = pieces.select(row, F.col(f"`{length}`").cast("long").alias("_length"), *by)
-    ranked = global_rank(narrow, ["_length"], [k.asc_nulls_first() for k in order], F.struct(*order)).select("_row", "_length", "rank")
+    ranked = global_rank(narrow, ["_length"], [k.asc_nulls_first() for k in order], F.struct(*order), buckets_for(sum(histogram.values()))).select("_row", "_length", "rank")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = held.value
