@@ -11,6 +11,8 @@ shuffled. Windows of words are compared by 64-bit hashes within a document.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,11 +39,18 @@ def _count(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
 
 
-def line_fails(line: Column) -> Column:
-    """A line with a word breaks one of the rules; lines without words never do."""
+#: One of these stands in every boilerplate line, in lower case: plain texts are told apart by them at little cost.
+HINTS = ("©", "(c)", "copyright", "rights reserved", "licensed", "released", "terms of", "policy", "cookies", "javascript", "subscribe", "sign up")
+
+
+def line_fails(line: Column, hinted: Column) -> Column:
+    """A line with a word breaks one of the rules; lines without words never do.
+
+    ``hinted``: the line's text has one of ``HINTS``; without one no line is boilerplate.
+    """
     words = _count(line, WORD)
     small = F.lower(line)
-    plate = small.rlike(BOILERPLATE) & (_count(small, BOILERPLATE) * BOILERPLATE_WORDS >= words)
+    plate = hinted & small.rlike(BOILERPLATE) & (_count(small, BOILERPLATE) * BOILERPLATE_WORDS >= words)
 
     def dense(pattern: str) -> Column:
         """Found more than once in five words; words are counted only where it is found at all."""
@@ -90,10 +99,12 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     names = ["_row"]  # the columns as they came, so that none clashes with those made here
     t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    one = docs.select(row, t.alias("_t"), F.split(t, "\n").alias("_lines"), F.transform(F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w)).alias("_words"))
+    small = F.lower(t)
+    hinted = reduce(lambda a, b: a | b, [F.contains(small, F.lit(h)) for h in HINTS])
+    one = docs.select(row, t.alias("_t"), hinted.alias("_hinted"), F.split(t, "\n").alias("_lines"), F.transform(F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w)).alias("_words"))
     windows = F.transform(F.sequence(F.lit(0), F.size("_words") - WINDOW), lambda i: F.xxhash64(*[F.get("_words", i + k) for k in range(WINDOW)]))
     windows = F.when(F.size("_words") > WINDOW, windows).otherwise(F.array().cast("array<bigint>"))
-    two = one.select(*names, "_t", "_lines", F.size("_words").cast("long").alias("n_words"), windows.alias("_windows"), F.filter("_lines", lambda x: ~line_fails(x)).alias("_kept"))
+    two = one.select(*names, "_t", "_lines", F.size("_words").cast("long").alias("n_words"), windows.alias("_windows"), F.filter("_lines", lambda x: ~line_fails(x, F.col("_hinted"))).alias("_kept"))
     full = F.filter("_lines", lambda x: x.rlike(WORD))
     three = two.select(
         *names,
