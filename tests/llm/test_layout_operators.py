@@ -4,6 +4,7 @@ import glob
 import math
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -203,23 +204,79 @@ def test_shards(spark, tmp_path):
     assert {b for _, b in moved} == {16} and 0.03 < len(moved) / len(by_doc) < 0.09 and max(map(len, slots.values())) < 300
 
 
-@pytest.mark.parametrize("before", range(1, 12))
-def test_growth_moves_rows_into_the_new_shard_only(spark, before):
-    tree = sharding.HashTree.even(before, per_rack=2, per_region=2)
-    df = sharding.assign_shards(spark.range(800).withColumnRenamed("id", "doc_id"), tree)
-    df = sharding.assign_shards(df, tree.grown(), into="grown")
-    assert {r["grown"] for r in df.where("grown <> shard").collect()} <= {before}
-
-
-def test_weights(spark):
-    tree = sharding.HashTree((1.0, 3.0, 0.0, 2.0))
-    count = {r["shard"]: r["count"] for r in sharding.assign_shards(spark.range(12_000).withColumnRenamed("id", "doc_id"), tree).groupBy("shard").count().collect()}
-    assert 2 not in count and abs(count[1] / 12_000 - 0.5) < 0.03 and abs(count[0] / 12_000 - 1 / 6) < 0.03
-    heavier = sharding.HashTree((1.0, 3.0, 0.0, 4.0))
-    df = sharding.assign_shards(sharding.assign_shards(spark.range(3000).withColumnRenamed("id", "doc_id"), tree), heavier, into="new")
-    assert {r["new"] for r in df.where("new <> shard").collect()} == {3}
-    with pytest.raises(ValueError):
-        sharding.HashTree((0.0,)).regions()
+KEYS = np.arange(1, 4001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+
+@pytest.mark.parametrize("shape", [(2, 2, 4), (4, 2, 16), (3, 3, 8), (1, 1, 1)])
+def test_growth_moves_rows_into_the_new_shard_only(shape):
+    rack, region, founded = shape
+    last = sharding.HashTree.even(1, rack, region, founded).descend(KEYS)
+    tree = sharding.HashTree.even(1, rack, region, founded)
+    for n in range(1, 41):
+        tree = tree.grown()
+        now = sharding.HashTree.even(n + 1, rack, region, founded).descend(KEYS)
+        assert set(now[now != last].tolist()) <= {n} and (tree.descend(KEYS) == now).all()
+        counts = np.bincount(now, minlength=n + 1) / len(KEYS)
+        assert np.abs(counts * (n + 1) - 1).max() < 5 * ((n + 1) / len(KEYS)) ** 0.5
+        last = now
+
+
+def test_levels_equal_brute_force():
+    """Each level's draws one by one, in plain Python."""
+    tree = sharding.HashTree(tuple(1.0 + s % 5 for s in range(20)), 3, 2, 14)
+
+    def unit(key, node, k=0):
+        return float(sharding._unit(np.array([key], np.uint64), node, k)[0])
+
+    def descend(key):
+        base = {r: sum(w for rack in racks.values() for w in rack.values()) for r, racks in tree.places().items()}
+        added = tree.slices()
+        draws = {}
+        for r in range(4):
+            weight = base.get(r, 0) + sum(w for _, w in added.get(r, ()))
+            step, shape = (-math.log(unit(key, sharding._REGION + r, k)) - math.log(unit(key, sharding._REGION + r, k + 1)) for k in (0, 2))
+            shift = unit(key, sharding._REGION + r, 4)
+            point = math.exp(step * (math.floor(math.log(weight) / step + shift) - shift))
+            draws[r] = (shape / (point * math.exp(step)), point)
+        region = min(draws, key=draws.get)
+        at = draws[region][1] - base.get(region, 0)
+        if at >= 0:
+            for s, w in added[region]:
+                at -= w
+                if at < 0:
+                    return s
+        racks = tree.places()[region]
+        rack = min(racks, key=lambda k: -math.log(unit(key, sharding._RACK + k)) / sum(racks[k].values()))
+        return min(racks[rack], key=lambda s: -math.log(unit(key, sharding._SHARD + s)) / racks[rack][s])
+
+    assert [descend(k) for k in KEYS[:400]] == tree.descend(KEYS[:400]).tolist()
+
+
+def test_shapes_and_weights():
+    shapes = [sharding.HashTree.even(16, *s).descend(KEYS) for s in ((4, 2), (16, 1), (1, 1), (3, 3))]
+    assert all((a != b).mean() > 0.3 for i, a in enumerate(shapes) for b in shapes[:i])
+    weights = [1.0, 3.0, 0.0, 2.0, 1.0, 1.0, 2.0, 2.0, 4.0, 1.0, 1.0, 1.0, 1.0, 2.0, 1.0, 1.0, 3.0, 2.0]
+    before = sharding.HashTree(tuple(weights)).descend(KEYS)
+    counts = np.bincount(before, minlength=18) / len(KEYS)
+    assert counts[2] == 0 and np.abs(counts - np.array(weights) / sum(weights)).max() < 0.02
+    for shard, weight in ((5, 4.0), (9, 0.2), (16, 5.0), (2, 3.0)):
+        after = sharding.HashTree((*weights[:shard], weight, *weights[shard + 1 :])).descend(KEYS)
+        moved = after != before
+        regions = (after if weight > weights[shard] else before)[moved] // 8
+        assert moved.any() and set(regions.tolist()) == {shard // 8}  # into, or out of, the region whose weight changed
+        if shard < 16:  # and within the region, of its racks
+            inside = moved & (before // 8 == after // 8) & (before < 16) & (after < 16) & (before // 4 != after // 4)
+            assert set(((after if weight > weights[shard] else before)[inside] // 4).tolist()) <= {shard // 4}
+    for bad in ((), (0.0,), (1.0, -1.0)):
+        with pytest.raises(ValueError):
+            sharding.HashTree(bad)
+
+
+def test_shards_of_odd_tables(spark, tmp_path):
+    df = spark.createDataFrame([(None, "a"), (None, "b"), (7, "x" * 300_000), (7, "x" * 300_000)], "doc_id long, text string").withColumns({c: F.lit("clash") for c in ("slot", "rank", "law")})
+    made = sharding.op5_hash_tree_shards(spark, table(spark, tmp_path / "a", df)).collect()
+    assert len(made) == 4 and len({(m["shard"], m["slot"]) for m in made}) == 4 and len({m["shard"] for m in made if m["doc_id"] is None}) == 1
+    assert sharding.op5_hash_tree_shards(spark, table(spark, tmp_path / "b", df.limit(0))).count() == 0
 
 
 def test_ranks(spark):
@@ -233,10 +290,62 @@ def test_ranks(spark):
 # mixing
 
 
-def test_water_fill():
-    assert mixing.water_fill([10, 10, 10], [5, 2, 1], 30, 3) == [18.75, 7.5, 3.75]
-    assert mixing.water_fill([1, 100, 100], [5, 2, 1], 201, 3) == [3.0, 132.0, 66.0]
-    assert mixing.water_fill([0, 5], [5, 2], 5, 3) == [0.0, 5.0] and mixing.water_fill([0], [5], 0, 3) == [0.0]
+def water_fill(sizes, weights, total, most):
+    """Shares of ``total`` by weight, none above ``most`` times its size, in exact fractions."""
+    out = [None] * len(sizes)
+    while True:
+        free = [i for i, t in enumerate(out) if t is None]
+        left, mass = total - sum(t for t in out if t is not None), sum(weights[i] for i in free)
+        over = [i for i in free if Fraction(left * weights[i], mass) > most * sizes[i]]
+        for i in over:
+            out[i] = most * sizes[i]
+        if not over:
+            return [float(Fraction(left * weights[i], mass)) if t is None else float(t) for i, t in enumerate(out)]
+
+
+def narrow_table(spark, rows):
+    return spark.createDataFrame(rows, "_s string, _n long")
+
+
+@pytest.mark.parametrize("sizes", [[10, 10, 10], [1, 100, 100], [0, 5], [0], [1, 2, 4, 1000, 0, 3, 50], [5] * 40])
+def test_targets_equal_brute_force(spark, sizes):
+    names = [f"={chr(0xE9 if i == 1 else 97 + i)}" for i in range(len(sizes) - 1)] + [""]
+    names = sorted(names[:-1], key=str.encode) + [""]  # null is the last
+    made = mixing.source_targets(narrow_table(spark, list(zip(names, sizes))).repartition(3), Scratch(spark, "t"))
+    found = {r["_s"]: r["target"] for r in made.collect()}
+    assert [found[n] for n in names] == water_fill(sizes, [(5, 2, 1)[i % 3] for i in range(len(sizes))], sum(sizes), 3)
+
+
+def test_tilts_equal_brute_force(spark):
+    """The optimum of the balance, found by halving, on tables of many shapes of sizes and targets."""
+    r = random.Random(3)
+    sizes = {"=a": [r.randint(1, 300) for _ in range(200)], "=b": [1], "=c": [5] * 30, "=d": [int(r.paretovariate(0.8)) + 1 for _ in range(300)], "=e": [10, 20_000], "=f": [7, 8], "=g": [3, 4]}
+    parts = {"=a": 0.3, "=b": 2.2, "=c": 1.7, "=d": 2.9, "=e": 0.01, "=f": 3.0, "=g": 0.0}
+    rows = [(s, n) for s, ns in sizes.items() for n in ns]
+    histogram = narrow_table(spark, rows).groupBy("_s", "_n").agg(F.count(F.lit(1)).alias("_m"))
+    targets = spark.createDataFrame([(s, sum(sizes[s]), parts[s] * sum(sizes[s])) for s in sizes], "_s string, source_size long, target double")
+    found = {x["_s"]: x["tilt"] for x in mixing.tilts(histogram, targets, Scratch(spark, "t")).collect()}
+    assert found["=f"] == math.inf and found["=g"] == -math.inf
+    rate = lambda tilt, n: 3.0 if tilt * n > math.log(3) else math.exp(tilt * n)
+    for s in "abcde":
+        ns, goal = sizes[f"={s}"], parts[f"={s}"] * sum(sizes[f"={s}"])
+        lo, hi = -20.0, 20.0
+        for _ in range(200):
+            mid = (lo + hi) / 2
+            lo, hi = (lo, mid) if sum(n * rate(mid, n) for n in ns) > goal else (mid, hi)
+        assert abs(sum(n * rate(found[f"={s}"], n) for n in ns) - goal) < 1e-5 * goal
+        assert all(abs(rate(found[f"={s}"], n) - rate(lo, n)) < 1e-4 for n in ns)
+        # no other weights of the same total have less entropy: moves along the constraint don't help
+        weights = [rate(found[f"={s}"], n) for n in ns]
+        entropy = lambda ws: sum(w * math.log(w) - w for w in ws if w > 0)
+        for _ in range(50):
+            i, j = r.randrange(len(ns)), r.randrange(len(ns))
+            step = r.choice((-1, 1)) * 0.01 * weights[i]
+            other = list(weights)
+            other[i] += step
+            other[j] -= step * ns[i] / ns[j]
+            if i != j and min(other) > 0 and max(other) <= 3:
+                assert entropy(other) >= entropy(weights) - 1e-6
 
 
 def test_mix(spark, tmp_path):
@@ -251,7 +360,7 @@ def test_mix(spark, tmp_path):
     for i in [*range(900), *range(20)]:
         sizes[sources[i]] = sizes.get(sources[i], 0) + len((texts[i] or "").split())
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
-    targets = dict(zip(order, mixing.water_fill([sizes[s] for s in order], [(5, 2, 1)[k % 3] for k in range(len(order))], sum(sizes.values()), 3)))
+    targets = dict(zip(order, water_fill([sizes[s] for s in order], [(5, 2, 1)[k % 3] for k in range(len(order))], sum(sizes.values()), 3)))
     taken = dict.fromkeys(order, 0)
     assert len(made) == 920
     for m in made:
@@ -270,10 +379,23 @@ def test_mix_of_odd_tables(spark, tmp_path):
     assert [(m["taken"], m["target"]) for m in made] == [(0, 0.0)] * 2
 
 
-def test_newton_meets_its_target(spark):
-    rows = [(10, 30.0), (10, 0.001), (7, 7.0), (5, 0.0), (0, 0.0), (10**12, 3e12)]
-    rates = [r[0] for r in spark.createDataFrame(rows, "s long, t double").select(mixing.newton_rate(F.col("s"), F.col("t"))).collect()]
-    assert all(abs(rate * s - t) <= 1e-6 * max(t, 1e-3) for rate, (s, t) in zip(rates, rows))
+def test_rates_follow_sizes(spark):
+    """Where a source must shrink, long documents give way first, as the tilt has it."""
+    r = random.Random(4)
+    rows = [(i, s, r.randint(1, 400)) for i, s in enumerate(["a", "a", "b", "c", "c"] * 500)]
+    made = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, size long")).collect()
+    sign = {}
+    for s in "abc":
+        mine = [m for m in made if m["source"] == s]
+        sign[s] = np.corrcoef([m["size"] for m in mine], [m["copies"] for m in mine])[0, 1]
+        assert abs(sum(m["size"] * m["copies"] for m in mine) - mine[0]["target"]) <= 0.01 * mine[0]["target"]
+    assert sign["a"] > 0.3 and sign["c"] < -0.3
+
+
+def test_mix_of_long_documents_and_null_keys(spark):
+    rows = [(None, "a", 5), (None, "a", 5), (1, None, 10**7), (1, None, None), (2, "a", 3)]
+    made = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, size long")).collect()
+    assert len(made) == 5 and all(0 <= m["copies"] <= 3 for m in made) and [m["copies"] for m in made if not m["size"]] == [0]
 
 
 # byte network
