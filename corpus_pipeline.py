@@ -5,9 +5,10 @@ Parquet and read again as the next stage's ``docs``. All but the last return the
 of ``documents``. ``run`` applies them to the whole table.
 
 Nulls and odd rows: a null text is an empty one and fails the quality rules. Rows with a
-null doc_id can't be told apart, so near-dedup lets them pass. Repeated rows become one
-at near-dedup. An empty table passes every stage. Extra columns are kept as they are by
-the first four stages.
+null doc_id can't be told apart, so near-dedup lets them pass. Rows of one doc_id and one text
+become one at near-dedup; different texts of one id all stay where that id stays. Very
+long texts are handled whole, ties go to the smallest doc_id. An empty table passes every
+stage. Extra columns are kept as they are by the first four stages, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from colsink.llm.near_dup import NearDup, near_dup
 from colsink.llm.packing import pack, token_pieces
 from colsink.llm.pii import redact
 from colsink.llm.quality import clean
+from colsink.llm.secret_scan import mask_secrets
 from colsink.llm.tokenizing import WORD_BPE, vocabulary
 
 #: The query has no SQL form: near-dedup's components and the packing program are iterative.
@@ -40,15 +42,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group at 80% of five-word shingles, the document of smallest id stays."""
-    groups = near_dup(docs, NearDup(width=5, percent=80))
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    known = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = near_dup(docs, NearDup(width=5, percent=80)).where("doc_id = component_id").select("doc_id").distinct()
+    # rows of one id and one text are one document; other texts of that id are documents of their own
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    known = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(row).alias("_row")).select("_row.*")
     return known.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Confirmed spans are masked; every document stays."""
-    return _sized(redact(docs))
+    """Confirmed spans of personal data and secrets are masked; every document stays."""
+    plain = redact(docs)
+    return _sized(plain.withColumn("text", mask_secrets(plain["text"])))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
