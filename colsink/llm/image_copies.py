@@ -1,23 +1,33 @@
 """Cropped and edited copies among images, by local descriptors.
 
-Features: corners (the Harris response, largest within a radius) at scales a factor of
-two apart; a corner's orientation is the direction of its patch's intensity centroid;
+Features: corners (the Harris response, largest within a radius) at scales ``octave`` of
+which make a factor of two; a corner's orientation is the direction of its patch's intensity centroid;
 128 binary tests between smoothed pixels, turned by that orientation, make a descriptor.
 
 Candidates: descriptors are cut into words of 32 bits, and equal words meet in a hash table, one for
-each place. Images that are equal bit for bit are one class and are linked with the
-smallest id among them without a look at corners; all classes that share enough words are
-compared, whatever else is in their buckets.
+each place. Images that are equal bit for bit are one class, linked with its smallest id without a
+look at corners. Two classes are compared if they share ``least_votes`` words at least and ``least_words``
+of the words of the one that has fewer. That is found in two rounds, so that many images with common words
+don't make all their pairs:
+
+* Each word's images are compared with one centre, the image of fewest words among them.
+* Those that share words and are still in different components are joined by prefixes: of an image's
+  words, ordered from rare to common, so many of the most common ones are left out that a pair with
+  enough words in common has half of those still among the others. What a crowd of images has
+  in common and is a small part of each meets nobody there; what is a large part of them has linked
+  them with the centre already. The filter loses no pair.
 
 Confirmation: each corner of the image with fewer of them is matched with all corners of
 the other that are nearest by Hamming distance; each match proposes a scale, a turn and a
-shift, and corners whose matches agree in them are counted. An edit may shift
-what follows it, so shifts of the same scale and turn may add up. A pair is linked where
-enough of the smaller image's corners agree. Linked images form components.
+shift. The proposals that most corners agree in are refined to a similarity by least squares, and the
+corners that follow it are counted. An edit may shift what follows it, so shifts of the same
+scale and turn may add up. A pair is linked where enough of the smaller image's corners
+agree. Linked images form components.
 
 Defined cases: null, empty or malformed images have no corners, and equal ones aren't
 copies of each other; images with too few corners are copies of equal images only. Long
-images are handled whole. Repeated rows are copies. An empty table gives an empty result.
+images are handled whole. Repeated rows and ties are copies. An empty table gives an empty result.
+Only the key and the image are read, so other columns' names can't clash.
 """
 
 from __future__ import annotations
@@ -29,7 +39,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colsink.llm.common import Scratch, read_table
@@ -43,12 +53,17 @@ BITS = 128
 
 @dataclass(frozen=True)
 class Copies:
-    """``apart``: radius within which a corner is the strongest; ``most_bits``: of a match's difference."""
+    """``scales``, of which ``octave`` make a factor of two; ``apart``: radius within which a corner is the strongest;
+    ``least_votes`` words and ``least_words`` of an image's words make a candidate; ``most_bits``: of a match's
+    difference; ``shift``: pixels within which corners agree; ``least_agreeing`` corners and ``least_share`` of
+    the smaller image's make a copy."""
 
-    scales: int = 3
+    scales: int = 7
+    octave: int = 3
     apart: int = 5
     least_votes: int = 2
-    most_bits: int = 16
+    least_words: float = 0.02
+    most_bits: int = 24
     shift: int = 12
     least_agreeing: int = 6
     least_share: float = 0.3
@@ -64,12 +79,14 @@ _PGM = re.compile(rb"P5(?:\s+#[^\n]*)*\s+(\d+)\s+(\d+)\s+(\d+)\s")
 
 
 def from_pgm(data: bytes | None) -> np.ndarray | None:
-    """Pixels of a binary grey map of 8 bits, or None where it is none."""
+    """Pixels of a binary grey map of 8 or 16 bits, scaled to 255, or None where it is none."""
     m = _PGM.match(data or b"")
-    if not m or int(m[3]) > 255:
+    w, h, top = (int(m[1]), int(m[2]), int(m[3])) if m else (0, 0, 0)
+    kind = np.dtype(">u2" if top > 255 else "u1")
+    if not w or not h or not 0 < top < 1 << 16 or len(data) - m.end() < w * h * kind.itemsize:
         return None
-    w, h = int(m[1]), int(m[2])
-    return np.frombuffer(data, np.uint8, w * h, m.end()).reshape(h, w) if w and h and len(data) - m.end() >= w * h else None
+    pixels = np.frombuffer(data, kind, w * h, m.end()).reshape(h, w)
+    return pixels if top == 255 else pixels.astype("f4") * np.float32(255 / top)
 
 
 def _tests() -> np.ndarray:
@@ -147,6 +164,19 @@ def _corners(stack: np.ndarray, live: np.ndarray, how: Copies) -> tuple[np.ndarr
     return y, x, turn, bits
 
 
+def resized(m: np.ndarray, factor: float) -> np.ndarray:
+    """A picture at a smaller size, between its pixels in a straight line."""
+    ats = []
+    for n in m.shape:
+        size = max(1, round(n * factor))
+        at = np.clip((np.arange(size) + 0.5) / factor - 0.5, 0, n - 1)
+        low = np.minimum(at.astype(np.int64), max(n - 2, 0))
+        ats.append((low, np.minimum(low + 1, n - 1), (at - low).astype("f4")))
+    (y, y1, fy), (x, x1, fx) = ats
+    rows = m[y] * (1 - fy[:, None]) + m[y1] * fy[:, None]
+    return rows[:, x] * (1 - fx) + rows[:, x1] * fx
+
+
 @dataclass
 class Features:
     """An image's corners: place in full-size pixels, scale, turn and descriptor words."""
@@ -172,12 +202,16 @@ def features(images: list[np.ndarray | None], how: Copies) -> list[Features]:
             while to < len(group) and (to == at or rows * images[group[at]].shape[1] < 400_000):
                 rows += images[group[to]].shape[0]
                 to += 1
-            part = [images[i].astype("f4") for i in group[at:to]]
+            whole = [images[i].astype("f4") for i in group[at:to]]
             for scale in range(how.scales):
-                if scale:
-                    part = [m[: m.shape[0] // 2 * 2, : m.shape[1] // 2 * 2].reshape(m.shape[0] // 2, 2, m.shape[1] // 2, 2).mean(axis=(1, 3)) for m in part]
-                if part[0].shape[1] <= 2 * RADIUS:
+                octave, step = divmod(scale, how.octave)
+                if octave and not step:
+                    whole = [m[: m.shape[0] // 2 * 2, : m.shape[1] // 2 * 2].reshape(m.shape[0] // 2, 2, m.shape[1] // 2, 2).mean(axis=(1, 3)) for m in whole]
+                if whole[0].shape[1] <= 2 * RADIUS:
                     break
+                factor = 2.0 ** (-step / how.octave)
+                part = [resized(m, factor) for m in whole] if step else whole
+                back = 2.0 ** (scale / how.octave)
                 heights = np.array([m.shape[0] for m in part])
                 starts = np.concatenate([[0], np.cumsum(heights)])
                 stack = np.concatenate(part)
@@ -191,7 +225,7 @@ def features(images: list[np.ndarray | None], how: Copies) -> list[Features]:
                 for k, i in enumerate(group[at:to]):
                     a, b = cuts[k], cuts[k + 1]
                     if b > a:
-                        out[i].append(((y[a:b] - starts[k]) << scale, x[a:b] << scale, np.full(b - a, scale), turn[a:b], words[a:b]))
+                        out[i].append((np.rint((y[a:b] - starts[k]) * back).astype(np.int64), np.rint(x[a:b] * back).astype(np.int64), np.full(b - a, scale), turn[a:b], words[a:b]))
             at = to
     none = (np.empty(0, np.int64),) * 4 + (np.empty((0, BITS // 64), np.uint64),)
     return [Features(*(np.concatenate(c) for c in zip(*f))) if f else Features(*none) for f in out]
@@ -208,54 +242,94 @@ def _nearest(a: Features, b: Features, how: Copies) -> Iterator[tuple[np.ndarray
         yield near[i] + s, j
 
 
-def agreeing(a: Features, b: Features, how: Copies) -> int:
-    """Corners of ``a`` whose nearest matches in ``b`` agree on scale, turn and shift."""
+def _distinct(key: np.ndarray, corner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each pair once."""
+    order = np.lexsort((corner, key))
+    key, corner = key[order], corner[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (corner[1:] != corner[:-1])
+    return key[new], corner[new]
+
+
+def _cells(shift: np.ndarray, size: float, half: int) -> np.ndarray:
+    """Cells of one of two staggered grids, so that a cluster isn't cut by both."""
+    y = np.floor(shift.imag / size + half / 2).astype(np.int64)
+    x = np.floor(shift.real / size + half / 2).astype(np.int64)
+    return (y + (1 << 24) << 25) + (x + (1 << 24))
+
+
+def agreeing(a: Features, b: Features, how: Copies, least: float = 0) -> int:
+    """Corners of ``a`` whose nearest matches in ``b`` agree on scale, turn and shift; 0 if fewer than ``least`` match at all."""
     if not len(a.y) or not len(b.y):
         return 0
-
-    def votes() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(corner, cell) of each match once; a cell tells grid, scale, turn and shift."""
-        for i, to in _nearest(a, b, how):
-            ratio = b.scale[to] - a.scale[i]
-            turn = (b.turn[to] - a.turn[i]) % TURNS
-            angle, grow = 2 * np.pi * turn / TURNS, 2.0**ratio
-            dy = b.y[to] - grow * (np.sin(angle) * a.x[i] + np.cos(angle) * a.y[i])
-            dx = b.x[to] - grow * (np.cos(angle) * a.x[i] - np.sin(angle) * a.y[i])
-            pose = (ratio + 16) * TURNS + turn
-            # shifts in two staggered grids, so that a cluster isn't cut by both
-            for half in (0, 1):
-                cell = np.stack([pose * 2 + half, np.floor(dy / how.shift + half / 2).astype(np.int64), np.floor(dx / how.shift + half / 2).astype(np.int64)])
-                key = (cell[0] << 52) + (cell[1] + (1 << 25) << 26) + (cell[2] + (1 << 25))
-                order = np.lexsort((key, i))
-                new = np.ones(len(order), bool)
-                new[1:] = (key[order[1:]] != key[order[:-1]]) | (i[order[1:]] != i[order[:-1]])
-                yield i[order[new]], key[order[new]]
-
-    # one block is kept, more are matched again
-    few = len(a.y) * len(b.y) <= 4_000_000
-    kept = list(votes()) if few else None
-    cells, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-    for _, key in kept if few else votes():
-        cells, at = np.unique(np.concatenate([cells, key]), return_inverse=True)
-        counts = np.bincount(at, np.concatenate([counts, np.ones(len(key), np.int64)]), len(cells)).astype(np.int64)
-    good = cells[counts >= 3]
-    if not len(good):
+    za, zb = a.x + 1j * a.y, b.x + 1j * b.y
+    middle = (za.real.max() + za.real.min()) / 2 + 1j * (za.imag.max() + za.imag.min()) / 2
+    za, reach = za - middle, float(np.abs(za - middle).max())
+    # one block is kept, more are matched again for each pass
+    kept = list(_nearest(a, b, how)) if len(a.y) * len(b.y) <= 4_000_000 else None
+    matches = lambda: kept if kept is not None else _nearest(a, b, how)
+    if sum(len(np.unique(i)) for i, _ in matches()) < max(least, 3):
         return 0
-    agree: dict[int, int] = {}
-    for i, key in kept if few else votes():
-        inside = np.isin(key, good)
-        each = np.unique(np.stack([key[inside] >> 52, i[inside]]), axis=1)[0]  # a corner counts once in a pose
-        for pose, n in zip(*(v.tolist() for v in np.unique(each, return_counts=True))):
-            agree[pose] = agree.get(pose, 0) + n
-    return max(agree.values())
+    pose = lambda i, j: (b.scale[j] - a.scale[i], (b.turn[j] - a.turn[i]) % TURNS)
+
+    # windows of two turns, and of two scales where these lie close, count the corners of coarse shifts
+    def proposals(i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        ratio, turn = pose(i, j)
+        for lower in (0, 1):
+            for less in (0, 1) if how.octave > 1 else (0,):
+                k, r = (turn - lower) % TURNS, ratio - less
+                grow = 2.0 ** ((r + (how.octave > 1) / 2) / how.octave)
+                shift = zb[j] - grow * np.exp(2j * np.pi * (k + 0.5) / TURNS) * za[i]
+                size = np.maximum(2 * how.shift, 0.25 * grow * reach)
+                for half in (0, 1):
+                    yield ((r + 32) * TURNS + k << 51) + (half << 50) + _cells(shift, size, half), i
+
+    names, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    for i, j in matches():
+        for key, corner in proposals(i, j):
+            key, _ = _distinct(key, corner)
+            names, at = np.unique(np.concatenate([names, key]), return_inverse=True)
+            counts = np.bincount(at, np.concatenate([counts, np.ones(len(key), np.int64)]), len(names)).astype(np.int64)
+    most = 0
+    for name in names[np.lexsort((names, -counts))[:3]]:
+        # least squares over the proposal's matches, then over those near its result
+        linear, shift, within = None, 0j, np.inf
+        for within in (np.inf, 4 * how.shift, 2 * how.shift):
+            n, sums = 0, np.zeros(4, complex)
+            for i, j in matches():
+                mine = np.concatenate([np.stack([i[key == name], j[key == name]]) for key, _ in proposals(i, j)], axis=1)
+                p, q = za[mine[0]], zb[mine[1]]
+                if linear is not None:
+                    close = np.abs(q - linear * p - shift) <= within
+                    p, q = p[close], q[close]
+                n += len(p)
+                sums += p.sum(), q.sum(), (q * p.conj()).sum(), (p * p.conj()).sum()
+            spread = sums[3] - sums[0] * sums[0].conjugate() / max(n, 1)
+            if n < 3 or abs(spread) < 1e-6:
+                break
+            linear = (sums[2] - sums[1] * sums[0].conjugate() / n) / spread
+            shift = (sums[1] - linear * sums[0]) / n
+        if linear is None or abs(linear) < 1e-3:
+            continue
+        angle, grown = np.angle(linear) * TURNS / (2 * np.pi), np.log2(abs(linear)) * how.octave
+        for half in (0, 1):
+            found: list[tuple[np.ndarray, np.ndarray]] = []
+            for i, j in matches():
+                ratio, turn = pose(i, j)
+                fits = (np.abs(ratio - grown) <= 1) & (np.abs((turn - angle + TURNS / 2) % TURNS - TURNS / 2) <= 2)
+                found.append(_distinct(_cells(zb[j[fits]] - linear * za[i[fits]], how.shift, half), i[fits]))
+            key, corner = (np.concatenate(c) for c in zip(*found))
+            cells, at, each = np.unique(key, return_inverse=True, return_counts=True)
+            most = max(most, len(np.unique(corner[each[at] >= 3])))
+    return most
 
 
 # places travel as one number each
-_FIELDS = ((32, 31), (16, 16), (8, 8), (0, 8))  # shift and width of y, x, scale and turn
+_FIELDS = ((35, 28), (11, 24), (6, 5), (0, 6))  # shift and width of y, x, scale and turn
 
 
 def _packed(f: Features) -> np.ndarray:
-    return f.y << 32 | f.x << 16 | f.scale << 8 | f.turn
+    return f.y << 35 | f.x << 11 | f.scale << 6 | f.turn
 
 
 def _unpacked(place: np.ndarray, words: np.ndarray) -> Features:
@@ -266,7 +340,7 @@ def _unpacked(place: np.ndarray, words: np.ndarray) -> Features:
 def described(images: DataFrame, how: Copies, key: str, image: str) -> DataFrame:
     """(id, name, n, place, words) of each image; ``name`` is a digest of its bytes, null for no image.
 
-    Images wider than 65,535 pixels are taken for malformed ones.
+    An image wider than 2^24 pixels or higher than 2^28 has a name, so that equal ones are copies, and no corners.
     """
     small_batches(images, 256)
 
@@ -274,9 +348,8 @@ def described(images: DataFrame, how: Copies, key: str, image: str) -> DataFrame
         for batch in batches:
             raw = batch.column(1).to_pylist()
             pixels = [from_pgm(r) for r in raw]
-            pixels = [m if m is not None and m.shape[1] < 1 << 16 else None for m in pixels]
             names = [hashlib.blake2b(r, digest_size=16).digest() if m is not None else None for r, m in zip(raw, pixels)]
-            found = features(pixels, how)
+            found = features([m if m is not None and m.shape[1] < 1 << 24 and m.shape[0] < 1 << 28 else None for m in pixels], how)
             offsets = np.concatenate([[0], np.cumsum([len(f.y) for f in found])]).astype(np.int32)
             place = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([_packed(f) for f in found])))
             words = pa.ListArray.from_arrays(pa.array(offsets * (BITS // 64)), pa.array(np.concatenate([f.words.ravel().view(np.int64) for f in found])))
@@ -295,7 +368,8 @@ def _confirmed(pairs: DataFrame, every: DataFrame, how: Copies) -> DataFrame:
             for i in range(batch.num_rows):
                 p, q = (_unpacked(*(np.asarray(batch.column(f"{side}_{c}")[i].values) for c in ("place", "words"))) for side in "pq")
                 p, q = (p, q) if len(p.y) <= len(q.y) else (q, p)
-                keep.append(agreeing(p, q, how) >= max(how.least_agreeing, how.least_share * len(p.y)))
+                least = max(how.least_agreeing, how.least_share * len(p.y))
+                keep.append(agreeing(p, q, how, least) >= least)
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
 
@@ -307,70 +381,91 @@ def _confirmed(pairs: DataFrame, every: DataFrame, how: Copies) -> DataFrame:
 
 
 def find_copies(images: DataFrame, how: Copies = Copies(), key: str = "id", image: str = "image") -> DataFrame:
-    """(id, n_corners, component_id, n_links): one row for each row of ``images`` (key, binary grey map).
+    """(id, n_corners, component_id): one row for each row of ``images`` (key, binary grey map).
 
-    ``component_id`` is the smallest id among copies, ``n_links`` the links of the row's
-    id: to the ids of equal images and to all ids of the classes confirmed as its copies. A null id stays apart.
+    ``component_id`` is the smallest id among copies. A null id stays apart.
     """
     scratch = Scratch(images.sparkSession, "images")
     every = scratch.keep(described(images, how, key, image), "described")
 
     # the smallest id stands for its class of equal images
     named = every.where("name IS NOT NULL AND id IS NOT NULL").select("name", "id")
-    least = scratch.keep(named.distinct().groupBy("name").agg(F.min("id").alias("b"), F.max("id").alias("top"), F.count(F.lit(1)).alias("k")), "classes")
+    least = scratch.keep(named.distinct().groupBy("name").agg(F.min("id").alias("b"), F.max("id").alias("top")), "classes")
     equal = named.join(least.where("b < top"), "name").where("id != b").select(F.col("id").alias("a"), "b")
-    classes = every.join(least.select("name", F.col("b").alias("id")), ["name", "id"], "left_semi")
+    classes = every.where(F.col("n") >= how.least_agreeing).join(least.select("name", F.col("b").alias("id")), ["name", "id"], "left_semi")
+    classes = classes.dropDuplicates(["id", "name"])
 
-    # equal words meet in the table of their place, where all classes are paired
-    cut = classes.where(F.col("n") >= how.least_agreeing).select("id", F.posexplode("words").alias("at", "word"))
+    # words that more than one class has, with their classes
+    cut = classes.select("id", F.posexplode("words").alias("at", "word"))
     table = F.col("at") % (BITS // 64) * 2
     halves = F.explode(F.array((table * 2**32) + F.shiftrightunsigned("word", 32), ((table + 1) * 2**32) + F.col("word").bitwiseAND(0xFFFFFFFF)))
-    keys = cut.select("id", halves.alias("key")).repartition("key").groupBy("key", "id").agg(F.count(F.lit(1)).alias("k"))
-    met = keys.alias("p").join(keys.alias("q"), (F.col("p.key") == F.col("q.key")) & (F.col("p.id") > F.col("q.id")))
-    votes = met.groupBy(F.col("p.id").alias("a"), F.col("q.id").alias("b")).agg(F.sum(F.greatest("p.k", "q.k")).alias("votes"))
-    pairs = scratch.keep(votes.where(F.col("votes") >= how.least_votes).select("a", "b"), "pairs")
-
+    held = cut.select("id", halves.alias("key")).groupBy("key", "id").agg(F.lit(1).alias("one")).select("key", "id")
+    held = scratch.keep(held, "words")
+    sizes = scratch.keep(held.groupBy("id").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    common = held.groupBy("key").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    shared = scratch.keep(held.join(common, "key").join(sizes, "id").select("key", "id", "f", "n"), "shared")
+    scratch.drop("words")
+
+    def least_of(n: Column) -> Column:
+        """Words that a pair must share, from the smaller one's number."""
+        return F.greatest(F.lit(how.least_votes), F.ceil(n * how.least_words)).cast("long")
+
+    # first with a word's centre
+    centres = shared.groupBy("key").agg(F.min(F.struct("n", "id")).alias("c")).select("key", F.col("c.id").alias("b"), F.col("c.n").alias("m"))
+    first = shared.join(centres, "key").where("id != b").groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("votes"), F.min(F.least("n", "m")).alias("n"))
+    first = scratch.keep(first.where(F.col("votes") >= least_of(F.col("n"))).select("a", "b"), "first-pairs")
+    links = scratch.keep(_confirmed(first, _features(classes, first, scratch, "first"), how), "first")
+    labels = components(links, scratch, "first-groups")
+
+    # then what is still apart, by prefixes of the image that has fewer words
+    apart = scratch.keep(shared.join(labels, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component"), "apart")
+    order = Window.partitionBy("id").orderBy("f", "key")
+    ranked = apart.withColumns({"rank": F.row_number().over(order), "of": F.count(F.lit(1)).over(Window.partitionBy("id"))})
+    need = least_of(F.col("n"))
+    half = F.ceil(need / 2)
+    prefix = ranked.where((F.col("of") >= need) & (F.col("rank") <= F.col("of") - need + half)).select("key", "id", "n", "c", half.alias("half"))
+    p, q = prefix.alias("p"), apart.alias("q")
+    on = (F.col("p.key") == F.col("q.key")) & (F.col("p.c") != F.col("q.c")) & (F.struct("p.n", "p.id") < F.struct("q.n", "q.id"))
+    met = p.join(q, on).groupBy(F.col("p.id").alias("a"), F.col("q.id").alias("b")).agg(F.count(F.lit(1)).alias("votes"), F.min("p.half").alias("half"))
+    rest = scratch.keep(met.where("votes >= half").select("a", "b"), "rest-pairs")
+    more = scratch.keep(_confirmed(rest, _features(classes, rest, scratch, "rest"), how), "rest")
+
+    groups = components(links.union(more).union(equal), scratch, "copies")
+    out = every.select("id", "n").join(groups, "id", "left")
+    return out.select("id", F.col("n").alias("n_corners"), F.coalesce("component", "id").alias("component_id"))
+
+
+def _features(classes: DataFrame, pairs: DataFrame, scratch: Scratch, label: str) -> DataFrame:
+    """(id, place, words) of the images that are in a pair."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    near = scratch.keep(classes.select("id", "place", "words").join(ids, "id", "left_semi"), "near")
-    confirmed = scratch.keep(_confirmed(pairs, near, how), "confirmed")
-    links = confirmed.union(equal).distinct()
-    groups = components(links, scratch, "copies")
-    # a class's links: its other ids and all ids of the classes it is linked with
-    both = confirmed.union(confirmed.select("b", "a"))
-    beyond = both.join(least.select(F.col("b"), "k"), "b").groupBy(F.col("a").alias("top")).agg(F.sum("k").alias("more"))
-    degree = least.select("name", "k", F.col("b").alias("top")).join(beyond, "top", "left").select("name", (F.col("k") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"))
-    degree = named.distinct().join(degree, "name").groupBy("id").agg(F.sum("n_links").alias("n_links"))
-    out = every.select("id", "n").join(groups, "id", "left").join(degree, "id", "left")
-    return out.select("id", F.col("n").alias("n_corners"), F.coalesce("component", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return scratch.keep(classes.select("id", "place", "words").join(ids, "id", "left_semi"), f"{label}-near")
 
 
 # pictures of pages
 
-_DROP = re.compile(r"(?is)<(script|style|nav|footer|head)\b.*?</\1\s*>|<!--.*?-->")
-_TAG = re.compile(r"<[^>]*>")
 #: Ink of a character by a fixed rule; a space has none.
 _INK = ((np.arange(256) * 97) % 191 + 64).astype(np.uint8)
 _INK[[9, 10, 11, 12, 13, 32]] = 0
 COLUMNS = 64
+#: Pages keep their pixels when they are copied: scales a factor of two apart do, a tenth of the words, and matches of 16 bits.
+PAGES = Copies(scales=3, octave=1, least_words=0.1, most_bits=16)
 
 
 def page_picture(html: str | None) -> bytes | None:
-    """A small picture of a page's whole text: a pixel for each byte, a blank row below each line."""
+    """A picture of a whole page: a pixel for each byte, a blank row below each line."""
     if not html:
         return None
-    text = " ".join(_TAG.sub(" ", _DROP.sub(" ", html)).split()).encode()
-    if not text:
-        return None
-    rows = -(-len(text) // COLUMNS)
+    data = html.encode()
+    rows = -(-len(data) // COLUMNS)
     pixels = np.zeros((2 * rows, COLUMNS), np.uint8)
     line = np.zeros(rows * COLUMNS, np.uint8)
-    line[: len(text)] = _INK[np.frombuffer(text, np.uint8)]
+    line[: len(data)] = _INK[np.frombuffer(data, np.uint8)]
     pixels[::2] = line.reshape(rows, COLUMNS)
     return to_pgm(pixels)
 
 
 def pictured(html: Column) -> Column:
-    """Pictures of pages; null where there is no text."""
+    """Pictures of pages; null where there is no byte."""
 
     def run(pages: pa.Array) -> pa.Array:
         return pa.array([page_picture(p.as_py()) for p in pages], pa.binary())
@@ -382,5 +477,5 @@ def op1_image_copies(spark, sf_dir: str) -> DataFrame:
     """Copies among pictures of all ``pages``."""
     pages = read_table(spark, sf_dir, "pages")
     small_batches(pages, 256)
-    out = find_copies(pages.select("page_id", pictured(pages["html"].cast("string")).alias("image")), key="page_id")
+    out = find_copies(pages.select("page_id", pictured(pages["html"].cast("string")).alias("image")), PAGES, key="page_id")
     return out.withColumnRenamed("id", "page_id")

@@ -511,11 +511,50 @@ def test_scales_agree():
     assert image_copies.agreeing(b, a, how) > 0.8 * len(b.y) and image_copies.agreeing(c, a, how) < how.least_agreeing
 
 
-def test_links_are_counted(spark):
-    base, other = texture(9), texture(10)
-    rows = [*[(i, base) for i in range(5)], (5, base[10:150, 10:140]), (6, base[:140, 20:150]), (7, other), (0, base)]
-    made = image_copies.find_copies(spark.createDataFrame([(i, image_copies.to_pgm(m)) for i, m in rows], "id long, image binary")).collect()
-    assert sorted((r["id"], r["n_links"]) for r in made) == sorted([(0, 6), *[(i, 6) for i in range(7)], (7, 0)])
+def smooth_texture(seed, h=220, w=220):
+    r = np.random.default_rng(seed)
+    m = sum(image_copies._summed(r.normal(0, 1, (h, w)).astype("f4"), k) / (2 * k + 1) for k in (1, 2, 4, 8))
+    return (m - m.min()) / (m.max() - m.min()) * 255
+
+
+def warped(m, angle, scale, size):
+    """Turned and scaled about the middle, between pixels in straight lines."""
+    y, x = (v - size / 2 for v in np.mgrid[:size, :size].astype(float))
+    y, x = (np.cos(angle) * y - np.sin(angle) * x) / scale + m.shape[0] / 2, (np.sin(angle) * y + np.cos(angle) * x) / scale + m.shape[1] / 2
+    i, j = (np.clip(np.floor(v).astype(int), 0, n - 2) for v, n in zip((y, x), m.shape))
+    fy, fx = np.clip(y - i, 0, 1), np.clip(x - j, 0, 1)
+    return m[i, j] * (1 - fy) * (1 - fx) + m[i + 1, j] * fy * (1 - fx) + m[i, j + 1] * (1 - fy) * fx + m[i + 1, j + 1] * fy * fx
+
+
+def test_distorted_copies(spark):
+    """Turns, sizes between factors of two, noise, brightness and crops; recall against all pairs."""
+    how = image_copies.Copies()
+    bases = [smooth_texture(s) for s in range(6)]
+    noise = np.random.default_rng(5).normal(0, 10, bases[0].shape)
+    edits = {
+        "turn": lambda m: warped(m, np.pi / 12, 1, 160), "smaller": lambda m: warped(m, 0, 0.8, 176), "larger": lambda m: warped(m, 0, 1.25, 220),
+        "noise": lambda m: m + noise, "brightness": lambda m: m * 0.7 + 40, "crop": lambda m: m[30:180, 20:190], "quarter": lambda m: np.rot90(m), "half": lambda m: warped(m, 0, 0.5, 110),
+    }
+    pictures = [(k * 100 + i, np.clip(np.rint(f(m)), 0, 255).astype(np.uint8)) for k, f in enumerate([lambda m: m, *edits.values()]) for i, m in enumerate(bases)]
+    made = {r["id"]: r["component_id"] for r in image_copies.find_copies(spark.createDataFrame([(i, image_copies.to_pgm(m)) for i, m in pictures], "id long, image binary"), how).collect()}
+    assert made == {i: i % 100 for i, _ in pictures}
+
+
+def test_page_links_equal_all_pairs(spark, tiny):
+    """Components are those of all pairs' links: queries are the pages whose id is divisible by 50, against all."""
+    pages = spark.read.parquet(tiny.replace("sf0.001", "sf0.01") + "/pages.parquet").collect()
+    found = {r["page_id"]: r["component_id"] for r in image_copies.op1_image_copies(spark, tiny.replace("sf0.001", "sf0.01")).collect()}
+    how = image_copies.PAGES
+    drawn = {r["page_id"]: image_copies.page_picture(r["html"]) for r in pages}
+    every = dict(zip(drawn, image_copies.features([image_copies.from_pgm(m) for m in drawn.values()], how)))
+    links = lost = 0
+    for q in (i for i in drawn if i % 50 == 0 or found[i] != i):
+        for i in drawn:
+            a, b = sorted((every[q], every[i]), key=lambda f: len(f.y))
+            if i != q and len(a.y) >= how.least_agreeing and image_copies.agreeing(a, b, how) >= max(how.least_agreeing, how.least_share * len(a.y)):
+                links += 1
+                lost += found[q] != found[i]
+    assert links > 10 and lost <= 0.1 * links
 
 
 def test_noisy_copies(spark):
@@ -533,7 +572,9 @@ def test_grey_maps():
     base = texture(6)
     assert (image_copies.from_pgm(image_copies.to_pgm(base)) == base).all()
     assert (image_copies.from_pgm(b"P5\n# note\n2 1\n255\nab") == [[97, 98]]).all()
-    assert image_copies.from_pgm(b"P6 1 1 255\nabc") is None and image_copies.from_pgm(None) is None and image_copies.page_picture("<p> </p>") is None
+    deep = b"P5 2 1 65535\n" + np.array([[0, 65535]], ">u2").tobytes()
+    assert image_copies.from_pgm(deep).tolist() == [[0, 255]] and image_copies.from_pgm(b"P5 2 1 15\n\x00\x0f").tolist() == [[0, 255]]
+    assert image_copies.from_pgm(b"P6 1 1 255\nabc") is None and image_copies.from_pgm(None) is None and image_copies.page_picture("") is None
 
 
 def test_page_copies(spark, tmp_path):
