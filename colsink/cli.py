@@ -47,7 +47,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
     if given.dump:
         write_dump(df, given.dump, mode="overwrite", batchsize=str(given.batchsize), compression=given.compression, allowoverflow=str(given.allowoverflow).lower(), dbtable=given.table)
         phase("load")
-        stored = read_dump(spark, given.dump).count()
+        stored = read_dump(spark, given.dump, df.columns[:1]).count()
     else:
         jdbc.write(df, given.jdbc, given.table, "overwrite", null_on_overflow=given.allowoverflow, batch_size=given.batchsize)
         phase("load")

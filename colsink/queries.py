@@ -332,6 +332,8 @@ def _shared(spark: SparkSession) -> str:
     import uuid
 
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if not named and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{named.rstrip('/')}/dump-{uuid.uuid4().hex}" if named else tempfile.mkdtemp(prefix="dump-")
 
 

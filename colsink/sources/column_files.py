@@ -2,16 +2,20 @@
 
 Layout below the dump's folder:
 
-    manifest.json                      columns, batches, metrics; replaced as a whole
+    manifest.json                      table, columns and generation; replaced as a whole
+    commits/<generation>/<write>.json  batches and metrics of one write
     create.sql drop.sql truncate.sql   table definition
-    part<N>/batch<K>/                  one batch of one task
+    part<N>[.<write>]/batch<K>/        one batch of one task
         col<i>.<name>.bin[.lz4] copy.sql
 
-Tasks write into a folder of their own attempt. The driver's commit moves the folders of
-the attempts that count into place and then replaces the manifest, which alone says what
-the dump holds: readers see all of a write or nothing. An abort removes the attempts'
-folders. With ``immediatecommit`` each batch is published by its task as soon as it is
-full, with a marker in place of a line in the manifest. A task holds one Arrow batch and
+Tasks write into a folder of their own write and attempt. The driver's commit moves the
+folders of the attempts that count into place and then adds one file that names them, so
+readers see all of a write or nothing, and writers that append at the same time don't
+touch each other's files. An overwrite begins a generation and its commit replaces the
+manifest. An abort removes the write's own attempts. With ``immediatecommit`` each batch
+is published by its task as soon as it is full, in a commit file of its own, and stays if the
+job fails later; when the job succeeds, the write's own file takes their place. An overwrite of
+that kind begins its generation before its tasks run. A task holds one Arrow batch and
 the back-reference memory at a time.
 
 Paths are file-system URIs that pyarrow opens, or plain paths on a shared folder.
@@ -21,6 +25,7 @@ from __future__ import annotations
 
 import json
 import re
+import threading
 import time
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
@@ -34,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from colsink.metrics import StateTimes
+from colsink.metrics import StateTimes, summed
 from colsink.operators import backref, wire
 from colsink.operators.compression import unframed
 from colsink.plans.conversion import plan
@@ -68,13 +73,36 @@ def target_columns(text: str) -> list[TargetColumn]:
     return [TargetColumn.parse(n, t) for n, t in json.loads(text)]
 
 
+def _read_json(store: fs.FileSystem, path: str) -> dict | None:
+    if not _exists(store, path):
+        return None
+    with store.open_input_stream(path) as f:
+        return json.loads(f.read())
+
+
+def _publish(store: fs.FileSystem, path: str, content: dict) -> None:
+    """Write a file that others see whole or not at all."""
+    new = f"{path}.{uuid.uuid4().hex}.new"
+    _write(store, new, json.dumps(content).encode())
+    store.move(new, path)
+
+
 def read_manifest(path: str) -> dict | None:
-    """What a dump holds, or None where there is none."""
+    """What a dump holds, or None where there is none: its definition with the batches and metrics of all commits."""
     store, root = _open(path)
-    if not _exists(store, f"{root}/manifest.json"):
+    held = _read_json(store, f"{root}/manifest.json")
+    if held is None:
         return None
-    with store.open_input_stream(f"{root}/manifest.json") as f:
-        return json.loads(f.read())
+    folder = fs.FileSelector(f"{root}/commits/{held['generation']}", allow_not_found=True)
+    names = sorted(f.base_name.removesuffix(".json") for f in store.get_file_info(folder) if f.base_name.endswith(".json"))
+    whole = {n for n in names if "@" not in n}
+    batches, metrics = [], {}
+    for n in names:
+        if n in whole or n.split("@")[0] not in whole:  # a whole write's file stands for those of its batches
+            commit = _read_json(store, f"{root}/commits/{held['generation']}/{n}.json")
+            batches += commit["batches"]
+            metrics = summed([metrics, commit["metrics"]])
+    return held | {"batches": batches, "metrics": metrics}
 
 
 @dataclass
@@ -103,13 +131,39 @@ class ColumnFileWriter(DataSourceArrowWriter):
 
     def __init__(self, options: SinkOptions, columns: Sequence[TargetColumn], all_columns: Sequence[TargetColumn], overwrite: bool):
         self.options, self.columns, self.all_columns, self.overwrite = options, list(columns), list(all_columns), overwrite
+        self.write_id = options.write_id or f"{time.time_ns():020d}-{uuid.uuid4().hex[:12]}"
+        store, root = _open(options.path)
+        before = _read_json(store, f"{root}/manifest.json")
+        self.suffix = f".{self.write_id}" if before else ""
+        self.generation = before["generation"] if before and not overwrite else self.write_id if overwrite else "first"
+        if options.immediate_commit:
+            old = read_manifest(options.path) if overwrite else None
+            self._define(store, root, before)
+            self._remove(store, root, old)
+
+    def _define(self, store: fs.FileSystem, root: str, before: dict | None) -> None:
+        """The table's scripts and the manifest, where there are none or others."""
+        if before and before["generation"] == self.generation:
+            return
+        table = self.options.table
+        store.create_dir(f"{root}/commits/{self.generation}")
+        for name, text in (("create", scripts.create(table, self.all_columns)), ("drop", scripts.drop(table)), ("truncate", scripts.truncate(table, self.options.cascade))):
+            _write(store, f"{root}/{name}.sql", text.encode())
+        _publish(store, f"{root}/manifest.json", {"columns": [[c.name, c.sql] for c in self.all_columns], "written": [c.name for c in self.columns], "table": table, "generation": self.generation})
+
+    def _remove(self, store: fs.FileSystem, root: str, old: dict | None) -> None:
+        """What an overwrite has replaced: the folders and commits of the generation before."""
+        if old and old["generation"] != self.generation:
+            for folder in {b["folder"].split("/")[0] for b in old["batches"]} | {f"commits/{old['generation']}"}:
+                if _exists(store, f"{root}/{folder}"):
+                    store.delete_dir(f"{root}/{folder}")
 
     # on executors
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> TaskDone:
         store, root = _open(self.options.path)
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
-        base = f"{root}/.writing/{attempt}"
+        base = f"{root}/.writing/{self.write_id}/{attempt}"
         times, done = StateTimes(), TaskDone(part, attempt)
         open_batch: _OpenBatch | None = None
         times.enter("collecting")
@@ -132,16 +186,16 @@ class ColumnFileWriter(DataSourceArrowWriter):
 
     def _close(self, store: fs.FileSystem, root: str, batch: _OpenBatch, done: TaskDone, times: StateTimes) -> None:
         times.enter("uploading")
-        name = f"part{done.part}/batch{len(done.batches)}"
-        files = batch.close(f"{self.options.prefix or self.options.path}/{name}")
-        folder = f".writing/{done.attempt}/batch{len(done.batches)}"
-        if self.options.immediate_commit:
+        options, k = self.options, len(done.batches)
+        place = f"part{done.part}-{done.attempt}" if options.immediate_commit else f"part{done.part}{self.suffix}"
+        files = batch.close(f"{place}/batch{k}")
+        made = Batch(f"{place}/batch{k}", batch.rows, files, options.compression.level is not None, options.backrefs >= 0)
+        if options.immediate_commit:
             times.enter("committing")
-            folder = f"part{done.part}-{done.attempt}/batch{len(done.batches)}"
-            store.create_dir(f"{root}/{folder.rsplit('/', 1)[0]}")
-            store.move(batch.folder, f"{root}/{folder}")
-            _write(store, f"{root}/{folder}/COMMITTED", str(batch.rows).encode())
-        done.batches.append(Batch(folder, batch.rows, files, self.options.compression.level is not None, self.options.backrefs >= 0))
+            store.create_dir(f"{root}/{place}")
+            store.move(batch.folder, f"{root}/{made.folder}")
+            _publish(store, f"{root}/commits/{self.generation}/{self.write_id}@{done.part}-{done.attempt}-{k}.json", {"batches": [asdict(made)], "metrics": {"row_count": batch.rows, "upload_count": 1}})
+        done.batches.append(made)
         times.rows += batch.rows
         times.uploads += 1
         times.enter("collecting")
@@ -151,44 +205,48 @@ class ColumnFileWriter(DataSourceArrowWriter):
     def commit(self, messages: list[TaskDone | None]) -> None:
         store, root = _open(self.options.path)
         store.create_dir(root)  # a write without rows has made none
-        before = None if self.overwrite else read_manifest(self.options.path)
-        held = before or {"batches": [], "metrics": {}}
-        taken = {b["folder"].split("/")[0] for b in held["batches"]}
-        version = max((int(m[1]) for t in taken if (m := re.match(r"part\d+\.(\d+)", t))), default=0) + 1 if taken else 0
-        if self.overwrite and _exists(store, root):
-            live = [f.base_name for f in store.get_file_info(fs.FileSelector(root)) if f.base_name.startswith("part")]
-            version = max((int(m[1]) if (m := re.match(r"part\d+\.(\d+)", t)) else 0 for t in live), default=-1) + 1
-        added, metrics = [], dict(held["metrics"])
+        before, old = _read_json(store, f"{root}/manifest.json"), read_manifest(self.options.path)
+        if not self.overwrite and before:
+            self.generation = before["generation"]  # an overwrite may have come between
+        added, metrics = [], {}
         for done in sorted((m for m in messages if m), key=lambda m: m.part):
-            for b in done.batches:
-                if b.folder.startswith(".writing"):
-                    name = f"part{done.part}" + (f".{version}" if version else "")
-                    folder = f"{name}/{b.folder.rsplit('/', 1)[1]}"
-                    store.create_dir(f"{root}/{name}")
-                    store.move(f"{root}/{b.folder}", f"{root}/{folder}")
-                    b.folder = folder
-                added.append(asdict(b))
-            for k, v in done.metrics.items():
-                metrics[k] = metrics.get(k, 0) + v
-        table = self.options.table
-        for name, text in (("create", scripts.create(table, self.all_columns)), ("drop", scripts.drop(table)), ("truncate", scripts.truncate(table, self.options.cascade))):
-            _write(store, f"{root}/{name}.sql", text.encode())
-        manifest = {"columns": [[c.name, c.sql] for c in self.all_columns], "written": [c.name for c in self.columns], "table": table, "batches": held["batches"] + added, "metrics": metrics}
-        _write(store, f"{root}/manifest.json.new", json.dumps(manifest).encode())
-        store.move(f"{root}/manifest.json.new", f"{root}/manifest.json")
-        self._sweep(store, root, {b["folder"].split("/")[0] for b in manifest["batches"]} if self.overwrite else None)
+            if done.batches and not self.options.immediate_commit:
+                self._place(store, root, done)
+            added += [asdict(b) for b in done.batches]
+            metrics = summed([metrics, done.metrics])
+        store.create_dir(f"{root}/commits/{self.generation}")
+        _publish(store, f"{root}/commits/{self.generation}/{self.write_id}.json", {"batches": added, "metrics": metrics})
+        self._define(store, root, before)
+        if self.overwrite:
+            self._remove(store, root, old)
+        self._sweep(store, root)
+
+    def _place(self, store: fs.FileSystem, root: str, done: TaskDone) -> None:
+        """Move a task's folder to its place; where another writer has come first, to a place of its own."""
+        place = done.batches[0].folder.split("/")[0]
+        taken = _exists(store, f"{root}/{place}")
+        if taken:
+            place = f"part{done.part}.{self.write_id}"
+        store.move(f"{root}/.writing/{self.write_id}/{done.attempt}", f"{root}/{place}")
+        for k, b in enumerate(done.batches if taken else ()):
+            b.folder = f"{place}/batch{k}"
+            _write(store, f"{root}/{b.folder}/copy.sql", load_script(self.options, self.columns, b.folder, b.files, b.rows).encode())
 
     def abort(self, messages: list[TaskDone | None]) -> None:
-        store, root = _open(self.options.path)
-        self._sweep(store, root, None)
+        self._sweep(*_open(self.options.path))
 
-    def _sweep(self, store: fs.FileSystem, root: str, live: set[str] | None) -> None:
-        """Remove attempts, and what an overwrite has replaced."""
-        if _exists(store, f"{root}/.writing"):
+    def _sweep(self, store: fs.FileSystem, root: str) -> None:
+        """Remove the attempts of this write, and their folder where no other write has any."""
+        if _exists(store, f"{root}/.writing/{self.write_id}"):
+            store.delete_dir(f"{root}/.writing/{self.write_id}")
+        if _exists(store, f"{root}/.writing") and not store.get_file_info(fs.FileSelector(f"{root}/.writing")):
             store.delete_dir(f"{root}/.writing")
-        for f in store.get_file_info(fs.FileSelector(root, allow_not_found=True)) if live is not None else ():
-            if f.type == fs.FileType.Directory and f.base_name.startswith("part") and f.base_name not in live:
-                store.delete_dir(f.path)
+
+
+def load_script(options: SinkOptions, columns: Sequence[TargetColumn], folder: str, files: Sequence[str], rows: int) -> str:
+    """The statement that loads a batch from its place."""
+    place = f"{options.prefix or options.path}/{folder}"
+    return scripts.load(options.table, columns, [f"{place}/{n}" for n in files], rows, options.compression.level is not None, options.on_server)
 
 
 class _OpenBatch:
@@ -208,11 +266,10 @@ class _OpenBatch:
             data = self.encoders[i].encode_array(_framable(values)) if self.encoders[i] else wire.encode(values, column)
             self.streams[i].write(self.options.compression.frame(data))
 
-    def close(self, place: str) -> list[str]:
+    def close(self, folder: str) -> list[str]:
         for s in self.streams:
             s.close()
-        text = scripts.load(self.options.table, self.columns, [f"{place}/{n}" for n in self.names], self.rows, self.options.compression.level is not None, self.options.on_server)
-        _write(self.store, f"{self.folder}/copy.sql", text.encode())
+        _write(self.store, f"{self.folder}/copy.sql", load_script(self.options, self.columns, folder, self.names, self.rows).encode())
         return self.names
 
 
@@ -297,8 +354,15 @@ class ColumnFiles(DataSource):
         return ColumnFileWriter(options, columns, every, overwrite)
 
 
+_REGISTERING = threading.Lock()
+
+
 def register(spark: SparkSession) -> None:
-    spark.dataSource.register(ColumnFiles)
+    """Make the format known to a session, once."""
+    with _REGISTERING:
+        if not getattr(spark, "_colsink_registered", False):
+            spark.dataSource.register(ColumnFiles)
+            spark._colsink_registered = True
 
 
 def write_dump(df: DataFrame, path: str, targets: Sequence[TargetColumn] | None = None, mode: str = "append", **options: str) -> None:
@@ -311,6 +375,9 @@ def write_dump(df: DataFrame, path: str, targets: Sequence[TargetColumn] | None
     register(df.sparkSession)
     parsed = SinkOptions.parse({"path": path, **options})
     before = read_manifest(parsed.path)
+    store, root = _open(parsed.path)
+    if parsed.write_id and before and _exists(store, f"{root}/commits/{before['generation']}/{parsed.write_id}.json"):
+        return  # this write has been committed
     if targets is None:
         keep = before and (mode != "overwrite" or parsed.truncate)
         targets = [TargetColumn.parse(n, t) for n, t in before["columns"]] if keep else table_columns(df.schema)
@@ -319,10 +386,17 @@ def write_dump(df: DataFrame, path: str, targets: Sequence[TargetColumn] | None
     writer.save(path) if "dumpdir" not in {k.lower() for k in options} else writer.save()
 
 
-def read_dump(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of a dump, as its last commit left it."""
+def read_dump(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """All rows of a dump, as its last commit left it; of ``columns`` alone where given, whose files alone are read."""
     register(spark)
-    return spark.read.format(FORMAT).load(path)
+    reader = spark.read.format(FORMAT)
+    if columns is not None:
+        manifest = read_manifest(SinkOptions.parse({"path": path}).path)
+        if manifest is None:
+            raise ValueError("there is no dump at this path")
+        kinds = {n: TargetColumn.parse(n, t) for n, t in manifest["columns"]}
+        reader = reader.schema(stored_schema(kinds[c] for c in columns))
+    return reader.load(path)
 
 
 def dump_metrics(path: str) -> Mapping[str, int]:

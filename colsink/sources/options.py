@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -22,6 +23,7 @@ class SinkOptions:
 
     ``serverfeatures`` names what the loading server can do, of ``backrefs`` and ``lz4``:
     without the first texts are written plainly, without the second compression is refused.
+    ``writeid`` names a write, so that the same write is committed once however often it is repeated.
     """
 
     path: str
@@ -36,6 +38,7 @@ class SinkOptions:
     backrefs: int = 0
     truncate: bool = False
     cascade: bool = False
+    write_id: str | None = None
 
     @staticmethod
     def parse(options: Mapping[str, str]) -> SinkOptions:
@@ -63,7 +66,10 @@ class SinkOptions:
             backrefs=memory_size(given.get("backrefsize", "0")) if "backrefs" in able else -1,
             truncate=_flag(given, "truncate"),
             cascade=_flag(given, "cascadetruncate"),
+            write_id=given.get("writeid"),
         )
+        if made.write_id is not None and not re.fullmatch(r"[A-Za-z0-9._-]+", made.write_id):
+            raise ValueError("option writeid must consist of letters, digits, points and dashes")
         if made.compression.level is not None and "lz4" not in able:
             raise ValueError("the server can't load compressed files")
         if made.immediate_commit and "dumpdir" in given:

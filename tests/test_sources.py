@@ -85,6 +85,86 @@ def test_save_modes(spark, rows, tmp_path):
         write_dump(narrow, path, mode="error")
 
 
+def scripted(path):
+    """Rows of all files that the load scripts of a dump name, by statement; each file must exist and be named once."""
+    import re
+
+    named = []
+    for script in Path(path).glob("part*/batch*/copy.sql"):
+        text = script.read_text()
+        files = re.findall("R'([^']+)'", text)
+        named += files
+        assert all(Path(f).exists() and Path(f).parent == script.parent for f in files)
+    assert len(named) == len(set(named))
+    return sorted(v for f in named if "col0" in f for v in wire.decode(Path(f).read_bytes(), TargetColumn.parse("id", "BIGINT")).to_pylist())
+
+
+def test_scripts_load_the_dump(spark, tmp_path):
+    """What the scripts would load is what the dump holds, after appends, an overwrite and immediate commits."""
+    path = str(tmp_path / "dump")
+    held = []
+    for first, mode, options in ((0, "append", {}), (100, "append", {}), (200, "append", {"immediatecommit": "true"}), (300, "overwrite", {}), (400, "append", {}), (500, "overwrite", {"immediatecommit": "true"})):
+        write_dump(spark.range(first, first + 50).repartition(2), path, mode=mode, batchsize="20", **options)
+        held = ([] if mode == "overwrite" else held) + list(range(first, first + 50))
+        assert scripted(path) == held == sorted(r["id"] for r in read_dump(spark, path).collect())
+
+
+def failing(spark):
+    """Rows whose write fails near its end, in one task."""
+    return spark.range(0, 10_000).coalesce(1).select("id", F.when(F.col("id") == 9_500, F.lit("a\0b")).otherwise(F.lit("t")).alias("t"))
+
+
+def test_immediate_commits_survive_a_failure(spark, tmp_path):
+    path = str(tmp_path / "dump")
+    with pytest.raises(Exception):
+        write_dump(failing(spark), path, batchsize="100", immediatecommit="true")
+    held = read_dump(spark, path).select("id").distinct().count()
+    assert 0 < held < 10_000 and held % 100 == 0
+    write_dump(failing(spark).where("id < 50"), path)
+    assert read_dump(spark, path).select("id").distinct().count() == held and read_dump(spark, path).where("id < 50").count() >= 100
+
+
+def test_writers_at_the_same_time(spark, tmp_path, monkeypatch):
+    """One writer's commit neither loses nor removes what another has written or is writing."""
+    import pyarrow as pa
+
+    from colsink.sources import column_files
+
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(column_files, "TaskContext", Task)
+    path, columns = str(tmp_path / "dump"), [TargetColumn.parse("id", "BIGINT")]
+    writers = [column_files.ColumnFileWriter(SinkOptions.parse({"path": path, "batchsize": "30"}), columns, columns, False) for _ in range(4)]
+    done = [w.write(iter([pa.record_batch({"id": list(range(k * 100, k * 100 + 100))})])) for k, w in enumerate(writers)]
+    writers[3].abort([])
+    for w, d in list(zip(writers, done))[:3]:
+        w.commit([d])
+    assert sorted(r["id"] for r in read_dump(spark, path).collect()) == list(range(300)) == scripted(path)
+    (Path(path) / ".writing" / "other").mkdir(parents=True)
+    write_dump(spark.range(300, 310), path)
+    assert (Path(path) / ".writing" / "other").exists() and read_dump(spark, path).count() == 310
+
+
+def test_named_writes_are_committed_once(spark, tmp_path):
+    path = str(tmp_path / "dump")
+    for _ in range(3):
+        write_dump(spark.range(5), path, writeid="one")
+    write_dump(spark.range(5), path, writeid="two")
+    assert read_dump(spark, path).count() == 10
+    with pytest.raises(ValueError):
+        SinkOptions.parse({"path": "x", "writeid": "../y"})
+
+
+def test_columns_are_read_alone(spark, rows, tmp_path):
+    path = tmp_path / "dump"
+    write_dump(rows, str(path))
+    for f in path.glob("part*/batch*/col1.*"):
+        f.unlink()
+    assert same(read_dump(spark, str(path), ["t", "id"]), rows.select("t", "id"))
+
+
 def test_actions():
     table = {
         ("append", True, False, False): [],
