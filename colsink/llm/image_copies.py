@@ -39,7 +39,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colsink.llm.common import Scratch, read_table
@@ -259,7 +259,10 @@ def _cells(shift: np.ndarray, size: float, half: int) -> np.ndarray:
 
 
 def agreeing(a: Features, b: Features, how: Copies, least: float = 0) -> int:
-    """Corners of ``a`` whose nearest matches in ``b`` agree on scale, turn and shift; 0 if fewer than ``least`` match at all."""
+    """Corners of ``a`` whose nearest matches in ``b`` agree on scale, turn and shift.
+
+    Where ``least`` is given, the count may stop once it is reached, and is 0 if fewer match at all.
+    """
     if not len(a.y) or not len(b.y):
         return 0
     za, zb = a.x + 1j * a.y, b.x + 1j * b.y
@@ -284,21 +287,29 @@ def agreeing(a: Features, b: Features, how: Copies, least: float = 0) -> int:
                 for half in (0, 1):
                     yield ((r + 32) * TURNS + k << 51) + (half << 50) + _cells(shift, size, half), i
 
+    def proposed() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for i, j in matches():
+            for key, _ in proposals(i, j):
+                yield key, i, j
+
+    told = list(proposed()) if kept is not None else None
+    offered = lambda: told if told is not None else proposed()
     names, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-    for i, j in matches():
-        for key, corner in proposals(i, j):
-            key, _ = _distinct(key, corner)
-            names, at = np.unique(np.concatenate([names, key]), return_inverse=True)
-            counts = np.bincount(at, np.concatenate([counts, np.ones(len(key), np.int64)]), len(names)).astype(np.int64)
+    for key, i, _ in offered():
+        new, more = np.unique(_distinct(key, i)[0], return_counts=True)
+        names, at = np.unique(np.concatenate([names, new]), return_inverse=True)
+        counts = np.bincount(at, np.concatenate([counts, more]), len(names)).astype(np.int64)
     most = 0
     for name in names[np.lexsort((names, -counts))[:3]]:
+        if least and most >= least:
+            break
         # least squares over the proposal's matches, then over those near its result
         linear, shift, within = None, 0j, np.inf
         for within in (np.inf, 4 * how.shift, 2 * how.shift):
             n, sums = 0, np.zeros(4, complex)
-            for i, j in matches():
-                mine = np.concatenate([np.stack([i[key == name], j[key == name]]) for key, _ in proposals(i, j)], axis=1)
-                p, q = za[mine[0]], zb[mine[1]]
+            for key, i, j in offered():
+                mine = key == name
+                p, q = za[i[mine]], zb[j[mine]]
                 if linear is not None:
                     close = np.abs(q - linear * p - shift) <= within
                     p, q = p[close], q[close]
@@ -395,16 +406,15 @@ def find_copies(images: DataFrame, how: Copies = Copies(), key: str = "id", imag
     classes = every.where(F.col("n") >= how.least_agreeing).join(least.select("name", F.col("b").alias("id")), ["name", "id"], "left_semi")
     classes = classes.dropDuplicates(["id", "name"])
 
-    # words that more than one class has, with their classes
-    cut = classes.select("id", F.posexplode("words").alias("at", "word"))
-    table = F.col("at") % (BITS // 64) * 2
-    halves = F.explode(F.array((table * 2**32) + F.shiftrightunsigned("word", 32), ((table + 1) * 2**32) + F.col("word").bitwiseAND(0xFFFFFFFF)))
-    held = cut.select("id", halves.alias("key")).groupBy("key", "id").agg(F.lit(1).alias("one")).select("key", "id")
-    held = scratch.keep(held, "words")
-    sizes = scratch.keep(held.groupBy("id").agg(F.count(F.lit(1)).alias("n")), "sizes")
-    common = held.groupBy("key").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
-    shared = scratch.keep(held.join(common, "key").join(sizes, "id").select("key", "id", "f", "n"), "shared")
-    scratch.drop("words")
+    # words that more than one class has, with their classes; an image's own words are told apart in its row
+    def cut(word: Column, at: Column) -> Column:
+        table = (at % (BITS // 64)).cast("long") * 2
+        return F.array(table * 2**32 + F.shiftrightunsigned(word, 32), (table + 1) * 2**32 + word.bitwiseAND(0xFFFFFFFF))
+
+    own = classes.select("id", F.array_distinct(F.flatten(F.transform("words", cut))).alias("keys"))
+    held = own.select("id", F.size("keys").cast("int").alias("n"), F.explode("keys").alias("key"))
+    common = held.groupBy("key").agg(F.count(F.lit(1)).cast("int").alias("f")).where("f > 1")
+    shared = scratch.keep(held.join(common, "key"), "shared")
 
     def least_of(n: Column) -> Column:
         """Words that a pair must share, from the smaller one's number."""
@@ -417,14 +427,16 @@ def find_copies(images: DataFrame, how: Copies = Copies(), key: str = "id", imag
     links = scratch.keep(_confirmed(first, _features(classes, first, scratch, "first"), how), "first")
     labels = components(links, scratch, "first-groups")
 
-    # then what is still apart, by prefixes of the image that has fewer words
-    apart = scratch.keep(shared.join(labels, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component"), "apart")
-    order = Window.partitionBy("id").orderBy("f", "key")
-    ranked = apart.withColumns({"rank": F.row_number().over(order), "of": F.count(F.lit(1)).over(Window.partitionBy("id"))})
+    # then what is still apart, by prefixes of the image that has fewer words; its words are put in order in one row
+    rows = shared.groupBy("id").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("f", "key")))["key"].alias("keys"))
+    apart = rows.join(labels, "id", "left").select("id", "n", F.coalesce("component", "id").alias("c"), "keys")
+    apart = scratch.keep(apart, "apart")
+    scratch.drop("shared")
     need = least_of(F.col("n"))
     half = F.ceil(need / 2)
-    prefix = ranked.where((F.col("of") >= need) & (F.col("rank") <= F.col("of") - need + half)).select("key", "id", "n", "c", half.alias("half"))
-    p, q = prefix.alias("p"), apart.alias("q")
+    prefix = F.slice("keys", F.lit(1), (F.size("keys") - need + half).cast("int"))
+    p = apart.where(F.size("keys") >= need).select("id", "n", "c", half.alias("half"), F.explode(prefix).alias("key")).alias("p")
+    q = apart.select("id", "n", "c", F.explode("keys").alias("key")).alias("q")
     on = (F.col("p.key") == F.col("q.key")) & (F.col("p.c") != F.col("q.c")) & (F.struct("p.n", "p.id") < F.struct("q.n", "q.id"))
     met = p.join(q, on).groupBy(F.col("p.id").alias("a"), F.col("q.id").alias("b")).agg(F.count(F.lit(1)).alias("votes"), F.min("p.half").alias("half"))
     rest = scratch.keep(met.where("votes >= half").select("a", "b"), "rest-pairs")
