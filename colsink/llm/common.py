@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 #: A word: a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Spark's setting that has a query's shuffle files removed when the query ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -60,8 +63,9 @@ class Scratch:
     """Tables written into the shared folder to cut lineage.
 
     A table is written once by Spark's own committer (so that lost executors and
-    repeated tasks do no harm) and then read back. ``drop`` removes one early; what is
-    left goes when the driver's Python ends, as results may read it until then.
+    repeated tasks do no harm) and then read back; its query's shuffle files go once it is
+    written. ``drop`` removes a table early; what is left goes when the driver's Python
+    ends, as results may read it until then.
     """
 
     def __init__(self, spark: SparkSession, label: str):
@@ -73,7 +77,13 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def keep(self, df: DataFrame, name: str, **options: str) -> DataFrame:
-        df.write.mode("overwrite").options(**options).parquet(self.path(name))
+        conf = self.spark.conf
+        before = conf.get(_CLEANUP)
+        conf.set(_CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").options(**options).parquet(self.path(name))
+        finally:
+            conf.set(_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:

@@ -425,6 +425,8 @@ def find_copies(images: DataFrame, how: Copies = Copies(), key: str = "id", imag
     first = shared.join(centres, "key").where("id != b").groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("votes"), F.min(F.least("n", "m")).alias("n"))
     first = scratch.keep(first.where(F.col("votes") >= least_of(F.col("n"))).select("a", "b"), "first-pairs")
     links = scratch.keep(_confirmed(first, _features(classes, first, scratch, "first"), how), "first")
+    scratch.drop("first-near")
+    scratch.drop("first-pairs")
     labels = components(links, scratch, "first-groups")
 
     # then what is still apart, by prefixes of the image that has fewer words; its words are put in order in one row
@@ -441,6 +443,9 @@ def find_copies(images: DataFrame, how: Copies = Copies(), key: str = "id", imag
     met = p.join(q, on).groupBy(F.col("p.id").alias("a"), F.col("q.id").alias("b")).agg(F.count(F.lit(1)).alias("votes"), F.min("p.half").alias("half"))
     rest = scratch.keep(met.where("votes >= half").select("a", "b"), "rest-pairs")
     more = scratch.keep(_confirmed(rest, _features(classes, rest, scratch, "rest"), how), "rest")
+    scratch.drop("rest-near")
+    scratch.drop("rest-pairs")
+    scratch.drop("apart")
 
     groups = components(links.union(more).union(equal), scratch, "copies")
     out = every.select("id", "n").join(groups, "id", "left")
