@@ -4,8 +4,8 @@ Features: corners (the Harris response, largest within a radius) at scales ``oct
 which make a factor of two; a corner's orientation is the direction of its patch's intensity centroid;
 128 binary tests between smoothed pixels, turned by that orientation, make a descriptor.
 
-Candidates: descriptors are cut into words of 32 bits, and equal words meet in a hash table, one for
-each place. Images that are equal bit for bit are one class, linked with its smallest id without a
+Candidates: four words of ``word_bits`` each cover a descriptor (beyond 32 neighbours overlap), and equal words
+meet in a hash table, one for each place. Images that are equal bit for bit are one class, linked with its smallest id without a
 look at corners. Two classes are compared if they share ``least_votes`` words at least and ``least_words``
 of the words of the one that has fewer. That is found in two rounds, so that many images with common words
 don't make all their pairs:
@@ -54,6 +54,8 @@ BITS = 128
 @dataclass(frozen=True)
 class Copies:
     """``scales``, of which ``octave`` make a factor of two; ``apart``: radius within which a corner is the strongest;
+    ``word_bits``: 32 to 60, of a word in a hash table; short words outlast noise, but the more corners a table of
+    images has and the flatter its patches, the more of them meet by chance;
     ``least_votes`` words and ``least_words`` of an image's words make a candidate; ``most_bits``: of a match's
     difference; ``shift``: pixels within which corners agree; ``least_agreeing`` corners and ``least_share`` of
     the smaller image's make a copy."""
@@ -61,6 +63,7 @@ class Copies:
     scales: int = 7
     octave: int = 3
     apart: int = 5
+    word_bits: int = 32
     least_votes: int = 2
     least_words: float = 0.02
     most_bits: int = 24
@@ -275,6 +278,16 @@ def agreeing(a: Features, b: Features, how: Copies, least: float = 0) -> int:
         return 0
     pose = lambda i, j: (b.scale[j] - a.scale[i], (b.turn[j] - a.turn[i]) % TURNS)
 
+    # no pose within the bounds of the last count has enough matches
+    if least:
+        by_pose = np.zeros((65, TURNS), np.int64)
+        for i, j in matches():
+            ratio, turn = pose(i, j)
+            np.add.at(by_pose, (ratio + 32, turn), 1)
+        by_pose = sum(np.roll(by_pose, k, axis=1) for k in range(-2, 3))
+        if (by_pose + np.roll(by_pose, 1, axis=0) + np.roll(by_pose, -1, axis=0)).max() < least:
+            return 0
+
     # windows of two turns, and of two scales where these lie close, count the corners of coarse shifts
     def proposals(i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         ratio, turn = pose(i, j)
@@ -409,7 +422,10 @@ def find_copies(images: DataFrame, how: Copies = Copies(), key: str = "id", imag
     # words that more than one class has, with their classes; an image's own words are told apart in its row
     def cut(word: Column, at: Column) -> Column:
         table = (at % (BITS // 64)).cast("long") * 2
-        return F.array(table * 2**32 + F.shiftrightunsigned(word, 32), (table + 1) * 2**32 + word.bitwiseAND(0xFFFFFFFF))
+        partner = F.get("words", at.bitwiseXOR(F.lit(1)))
+        more = how.word_bits - 32
+        across = F.shiftleft(word.bitwiseAND(0xFFFFFFFF), more).bitwiseOR(F.shiftrightunsigned(F.shiftrightunsigned(partner, 32), 32 - more))
+        return F.array(table * 2**how.word_bits + F.shiftrightunsigned(word, 32 - more), (table + 1) * 2**how.word_bits + across)
 
     own = classes.select("id", F.array_distinct(F.flatten(F.transform("words", cut))).alias("keys"))
     held = own.select("id", F.size("keys").cast("int").alias("n"), F.explode("keys").alias("key"))
@@ -464,8 +480,8 @@ def _features(classes: DataFrame, pairs: DataFrame, scratch: Scratch, label: str
 _INK = ((np.arange(256) * 97) % 191 + 64).astype(np.uint8)
 _INK[[9, 10, 11, 12, 13, 32]] = 0
 COLUMNS = 64
-#: Pages keep their pixels when they are copied: scales a factor of two apart do, a tenth of the words, and matches of 16 bits.
-PAGES = Copies(scales=3, octave=1, least_words=0.1, most_bits=16)
+#: Pages keep their pixels when they are copied: scales a factor of two apart do, long words, a twentieth of them, and matches of 16 bits.
+PAGES = Copies(scales=3, octave=1, word_bits=48, least_words=0.05, most_bits=16)
 
 
 def page_picture(html: str | None) -> bytes | None:
