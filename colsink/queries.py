@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import tempfile
+import uuid
 from collections.abc import Callable
 from decimal import Decimal
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from colsink import cli
 from colsink.functions import temporal, wire_hex
+from colsink.metrics import counted
 from colsink.operators.backref import distances, is_short
 from colsink.operators.batches import batch_numbers
 from colsink.plans.conversion import bind, convert, overflow_counts, plan
 from colsink.plans.types import TargetColumn, sql_type
-from colsink.sources import scans
-from colsink.sources.column_files import read_dump, write_dump
+from colsink.sources import jdbc, scans, tables
+from colsink.sources.column_files import dump_metrics, read_dump, write_dump
+from colsink.streaming import stream_dump
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -140,6 +147,56 @@ def overflow_report(spark, d):
     return overflow_counts(df, [TargetColumn.parse(n, t) for n, t in _TOO_WIDE.items()])
 
 
+@query("SELECT p_partkey, CASE WHEN p_partkey % 256 <> 0 THEN (p_partkey % 256 - 128)::TINYINT END AS x, (p_partkey % 256 - 128)::INTEGER AS y FROM part")
+def conv_byte_source(spark, d):
+    df = table(spark, d, "part").select("p_partkey", (F.col("p_partkey") % 256 - 128).cast("tinyint").alias("v"))
+    return df.select("p_partkey", checked(df, "v", "TINYINT"), checked(df, "v", "INTEGER", "y"))
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 1000 - 500 BETWEEN -127 AND 127 THEN (l_orderkey % 1000 - 500)::TINYINT END AS x,
+    (l_orderkey % 1000 - 500)::BIGINT AS y FROM lineitem"""
+)
+def conv_short_source(spark, d):
+    df = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_orderkey") % 1000 - 500).cast("smallint").alias("v"))
+    return df.select("l_orderkey", "l_linenumber", checked(df, "v", "TINYINT"), checked(df, "v", "BIGINT", "y"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN value::FLOAT END AS x, CASE WHEN event_id % 5 <> 0 THEN value::FLOAT::DOUBLE END AS y FROM events")
+def conv_float_source(spark, d):
+    v = F.when(F.col("event_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("value")).cast("float")
+    df = table(spark, d, "events").select("event_id", v.alias("v"))
+    return df.select("event_id", checked(df, "v", "REAL"), checked(df, "v", "DOUBLE", "y"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN hex(encode(c_name)) END AS hex FROM customer")
+def conv_binary(spark, d):
+    v = F.when(F.col("c_custkey") % 7 != 0, F.encode("c_name", "UTF-8"))
+    df = table(spark, d, "customer").select("c_custkey", v.alias("v"))
+    return df.select("c_custkey", F.hex(checked(df, "v", "BLOB")).alias("hex"))
+
+
+@query(
+    """SELECT 'l_orderkey' AS name, coalesce(bool_or(l_orderkey NOT BETWEEN -32767 AND 32767), FALSE) AS fails FROM lineitem
+    UNION ALL SELECT 'l_partkey', coalesce(bool_or(l_partkey NOT BETWEEN -127 AND 127), FALSE) FROM lineitem
+    UNION ALL SELECT 'l_linenumber', coalesce(bool_or(l_linenumber NOT BETWEEN 0 AND 1), FALSE) FROM lineitem
+    UNION ALL SELECT 'l_quantity', FALSE"""
+)
+def conversion_errors(spark, d):
+    """Which columns a strict write stops at."""
+    df, rows = table(spark, d, "lineitem"), []
+    for name, kind in _TOO_WIDE.items():
+        made = convert(F.col(name), df.schema[name].dataType, TargetColumn.parse(name, kind), False)
+        try:
+            df.agg(F.count(made)).collect()
+            rows.append((name, False))
+        except PySparkException as e:
+            if "Value out of range" not in str(e):
+                raise
+            rows.append((name, True))
+    return spark.createDataFrame(rows, "name string, fails boolean")
+
+
 # wire values
 
 
@@ -329,8 +386,6 @@ def ddl_type_map(spark, d):
 
 def _shared(spark: SparkSession) -> str:
     """A new folder that driver and executors share."""
-    import uuid
-
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not named and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
@@ -369,3 +424,246 @@ def overwrite_replace(spark, d):
     write_dump(df, path)
     write_dump(df.where("n_regionkey = 2"), path, mode="overwrite")
     return read_dump(spark, path).select(*[F.col(x.name).cast(x.dataType) for x in df.schema])
+
+
+_ROWS_OF_TWO = "SELECT * FROM nation WHERE n_regionkey = 2"
+
+
+@query(_ROWS_OF_TWO)
+def truncate_replace(spark, d):
+    path, df = _shared(spark), table(spark, d, "nation")
+    write_dump(df, path)
+    write_dump(df.where("n_regionkey = 2"), path, mode="overwrite", truncate="true")
+    return read_dump(spark, path).select(*[F.col(x.name).cast(x.dataType) for x in df.schema])
+
+
+_round_trip("dump_immediate_commit", "customer", batchsize="100", immediatecommit="true")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN ((o_orderkey - 1000)::HUGEINT * 100000000000000000000)::DECIMAL(38,0) END AS big FROM orders")
+def dump_roundtrip_int128(spark, d):
+    path = _shared(spark)
+    big = ((F.col("o_orderkey") - 1000).cast("decimal(18,0)") * F.lit("100000000000000000000").cast("decimal(21,0)")).cast("decimal(38,0)")
+    df = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, big).alias("big"))
+    write_dump(df, path, [TargetColumn.parse("o_orderkey", "BIGINT"), TargetColumn.parse("big", "DECIMAL(38,0)")])
+    return read_dump(spark, path)
+
+
+@query("SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN value::FLOAT END AS x FROM events")
+def dump_roundtrip_real(spark, d):
+    path = _shared(spark)
+    write_dump(table(spark, d, "events").select("event_id", F.when(F.col("event_id") % 5 != 0, F.col("value").cast("float")).alias("x")), path)
+    return read_dump(spark, path).select("event_id", F.col("x").cast("float").alias("x"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN epoch_us(ts) END AS us FROM events")
+def dump_roundtrip_instant(spark, d):
+    """Instants keep their microseconds, whatever the zone of their wall clock."""
+    path = _shared(spark)
+    at = F.when(F.col("event_id") % 5 != 0, temporal.instant(F.col("ts")))
+    write_dump(table(spark, d, "events").select("event_id", at.alias("at")), path, [TargetColumn.parse("event_id", "BIGINT"), TargetColumn.parse("at", "TIMESTAMP WITH TIME ZONE")])
+    return read_dump(spark, path).select("event_id", temporal.micros(F.col("at")).alias("us"))
+
+
+_NATION_FILES = ", ".join(f"R''/load/part0/batch' || b || '/col{i}.{n}.bin''" for i, n in enumerate(("n_nationkey", "n_name", "n_regionkey")))
+
+
+@query(
+    f"""WITH b AS (SELECT i // 10 AS b, count(*) AS n FROM (SELECT row_number() OVER () - 1 AS i FROM nation) GROUP BY ALL)
+    SELECT '/* colsink: ' || n || ' rows */' || chr(10) || 'COPY LITTLE ENDIAN BINARY INTO dump("n_nationkey", "n_name", "n_regionkey")' || chr(10)
+    || 'FROM {_NATION_FILES}' || chr(10) || 'ON SERVER;' || chr(10) AS statement FROM b"""
+)
+def copy_statements(spark, d):
+    path = _shared(spark)
+    write_dump(table(spark, d, "nation").coalesce(1), path, dumpdir=path, dumpprefix="/load", dumponserver="true", batchsize="10")
+    return spark.read.text(f"{path}/part*/batch*/copy.sql", wholetext=True).withColumnRenamed("value", "statement")
+
+
+@query(
+    """SELECT unnest(['CREATE TABLE c (' || chr(10) || '  "c_custkey" BIGINT,' || chr(10) || '  "c_name" CLOB,' || chr(10) || '  "c_nationkey" BIGINT,' || chr(10)
+    || '  "c_acctbal" DOUBLE,' || chr(10) || '  "c_mktsegment" CLOB' || chr(10) || ');' || chr(10), 'DROP TABLE c;' || chr(10), 'TRUNCATE TABLE c RESTRICT;' || chr(10)]) AS statement"""
+)
+def define_statements(spark, d):
+    path = _shared(spark)
+    write_dump(table(spark, d, "customer"), path, dbtable="c")
+    return spark.read.text([f"{path}/{n}.sql" for n in ("create", "drop", "truncate")], wholetext=True).withColumnRenamed("value", "statement")
+
+
+@query("SELECT count(*) AS dumped, count(*) AS observed FROM orders")
+def metric_rows(spark, d):
+    """Rows as the writers' metrics and an observation of the input have them."""
+    path = _shared(spark)
+    df, seen = counted(table(spark, d, "orders"))
+    write_dump(df, path)
+    return spark.createDataFrame([(dump_metrics(path)["row_count"], seen.get["row_count"])], "dumped long, observed long")
+
+
+@query("SELECT * FROM nation")
+def stream_append(spark, d):
+    base = _shared(spark)
+    table(spark, d, "nation").repartition(3).write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(table(spark, d, "nation").schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    stream_dump(stream, f"{base}/out", f"{base}/state", once=True).awaitTermination()
+    return read_dump(spark, f"{base}/out").select(*[F.col(x.name).cast(x.dataType) for x in stream.schema])
+
+
+# files and ranges
+
+
+def _file_scan(kind: str) -> None:
+    def f(spark, d):
+        df, path = table(spark, d, "customer"), _shared(spark)
+        df.write.format(kind).save(path)
+        return scans.read_file(spark, path, kind, df.schema)
+
+    QUERIES[f"scan_file_{kind}"], ORACLE_SQL[f"scan_file_{kind}"] = f, "SELECT * FROM customer"
+
+
+for _name in scans.FORMATS:
+    _file_scan(_name)
+
+
+@query("SELECT range AS id, range % 10 AS digit FROM range(10, 10000, 7)")
+def range_source(spark, d):
+    return spark.range(10, 10000, 7).select("id", (F.col("id") % 10).alias("digit"))
+
+
+@query("SELECT row_number() OVER (ORDER BY c_acctbal DESC NULLS LAST, c_custkey) AS place, c_custkey FROM customer QUALIFY place <= 100")
+def sorted_places(spark, d):
+    top = table(spark, d, "customer").orderBy(F.desc_nulls_last("c_acctbal"), "c_custkey").limit(100)
+    rows = [(i + 1, r[0]) for i, r in enumerate(top.select("c_custkey").collect())]
+    return spark.createDataFrame(rows, "place long, c_custkey long")
+
+
+# JDBC tables
+
+
+def _store(spark: SparkSession) -> str:
+    """URL of a new embedded store. It lives in the driver's process, so the session must run in one."""
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("the embedded store needs a session of one process")
+    return f"jdbc:derby:memory:q{uuid.uuid4().hex};create=true"
+
+
+def _as_before(stored: DataFrame, df: DataFrame) -> DataFrame:
+    return stored.select(*[F.col(f"`{x.name}`").cast(x.dataType) for x in df.schema])
+
+
+def _jdbc_mode(name: str, sql: str, *writes: tuple[str | None, dict]) -> None:
+    """A query that writes parts of ``nation`` one after another and reads what is stored."""
+
+    def f(spark, d):
+        url, df = _store(spark), table(spark, d, "nation")
+        for where, options in writes:
+            try:
+                jdbc.write(df.where(where) if where else df, url, "nation", **options)
+            except ValueError:
+                if options.get("mode") != "error":
+                    raise
+        return _as_before(jdbc.read(spark, url, "nation"), df)
+
+    QUERIES[name], ORACLE_SQL[name] = f, sql
+
+
+_jdbc_mode("jdbc_append", "SELECT * FROM nation UNION ALL SELECT * FROM nation WHERE n_regionkey = 1", (None, {}), ("n_regionkey = 1", {}))
+_jdbc_mode("jdbc_overwrite", _ROWS_OF_TWO, (None, {}), ("n_regionkey = 2", {"mode": "overwrite"}))
+_jdbc_mode("jdbc_truncate", _ROWS_OF_TWO, (None, {}), ("n_regionkey = 2", {"mode": "overwrite", "truncate": True}))
+_jdbc_mode("jdbc_ignore", _ROWS_OF_TWO, ("n_regionkey = 2", {"mode": "ignore"}), (None, {"mode": "ignore"}))
+_jdbc_mode("jdbc_error", _ROWS_OF_TWO, ("n_regionkey = 2", {"mode": "error"}), (None, {"mode": "error"}))
+
+
+def _stored_customers(spark: SparkSession, d: str) -> str:
+    url = _store(spark)
+    jdbc.write(table(spark, d, "customer"), url, "customer")
+    return url
+
+
+@query("SELECT c_custkey::INTEGER AS c_custkey, c_name, c_nationkey::TINYINT AS c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def jdbc_typed_scan(spark, d):
+    return jdbc.read(spark, _stored_customers(spark, d), "customer", types={"c_custkey": "INTEGER", "c_nationkey": "TINYINT"})
+
+
+@query(f"SELECT {_stride_sql('c_custkey', 0, 1000, 4)} AS part, count(*) AS n FROM customer GROUP BY ALL")
+def jdbc_partitioned_scan(spark, d):
+    rows = jdbc.read(spark, _stored_customers(spark, d), "customer", partition=("c_custkey", "0", "1000", 4))
+    return rows.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT c_nationkey, count(*) AS n FROM customer WHERE c_custkey > 50 GROUP BY ALL")
+def jdbc_query_scan(spark, d):
+    inner = '(SELECT "c_nationkey", "c_custkey" FROM customer) q'
+    rows = jdbc.read(spark, _stored_customers(spark, d), inner, types={"c_nationkey": "INTEGER"}).where("c_custkey > 50")
+    return rows.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 10 OFFSET 5")
+def jdbc_topk_offset(spark, d):
+    rows = jdbc.read(spark, _stored_customers(spark, d), "customer")
+    return rows.select("c_custkey", "c_acctbal").orderBy(F.desc("c_acctbal"), "c_custkey").offset(5).limit(10)
+
+
+@query("SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 100")
+def jdbc_catalog_scan(spark, d):
+    name = f"store_{uuid.uuid4().hex}"
+    jdbc.catalog(spark, name, _stored_customers(spark, d))
+    return spark.sql(f"SELECT c_custkey, c_acctbal FROM {name}.APP.CUSTOMER WHERE c_acctbal > 100")
+
+
+@query("SELECT * FROM nation")
+def jdbc_init_statement(spark, d):
+    """The session's schema is set first, so the table of that schema is read."""
+    url, df = _store(spark), table(spark, d, "nation")
+    jdbc.write(df.limit(0), url, "nation")
+    with tables.connection(spark, url) as conn:
+        tables.execute(conn, "CREATE SCHEMA other")
+    jdbc.write(df, url, "other.nation")
+    return _as_before(jdbc.read(spark, url, "nation", init="SET SCHEMA OTHER"), df)
+
+
+@query("SELECT * FROM (VALUES ('c_custkey', 'BIGINT'), ('c_name', 'CLOB'), ('c_nationkey', 'BIGINT'), ('c_acctbal', 'DOUBLE'), ('c_mktsegment', 'CLOB')) t(name, type)")
+def jdbc_probe_columns(spark, d):
+    found = jdbc.probe(spark, _stored_customers(spark, d), "customer")
+    return spark.createDataFrame([(c.name, c.kind) for c in found], "name string, type string")
+
+
+@query("SELECT FALSE AS stored")
+def jdbc_drop(spark, d):
+    url = _stored_customers(spark, d)
+    with tables.connection(spark, url) as conn:
+        tables.drop(conn, "customer")
+    return spark.createDataFrame([(jdbc.probe(spark, url, "customer") is not None,)], "stored boolean")
+
+
+@query("SELECT * FROM (VALUES (2), (5)) t(i)")
+def jdbc_savepoints(spark, d):
+    """Of nested scopes, what is rolled back leaves the rest."""
+    url = _store(spark)
+    with tables.connection(spark, url) as conn:
+        tables.execute(conn, "CREATE TABLE t (i INT)")
+        with tables.scope(conn):
+            tables.execute(conn, "INSERT INTO t VALUES (2)")
+            with tables.scope(conn, commit=False):
+                tables.execute(conn, "INSERT INTO t VALUES (3)")
+            with tables.scope(conn):
+                tables.execute(conn, "INSERT INTO t VALUES (5)")
+        with tables.scope(conn, commit=False):
+            tables.execute(conn, "INSERT INTO t VALUES (6)")
+    return jdbc.read(spark, url, "t").withColumnRenamed("I", "i")
+
+
+@query("SELECT * FROM customer")
+def loader_jdbc(spark, d):
+    url, file = _store(spark), f"{d.rstrip('/')}/customer.parquet"
+    with contextlib.redirect_stdout(io.StringIO()):
+        if cli.main([file, "--jdbc", url, "--table", "customer"], spark):
+            raise RuntimeError("the loader has lost rows")
+    return _as_before(jdbc.read(spark, url, "customer"), table(spark, d, "customer"))
+
+
+@query("SELECT * FROM customer")
+def loader_dump(spark, d):
+    path, file = _shared(spark), f"{d.rstrip('/')}/customer.parquet"
+    with contextlib.redirect_stdout(io.StringIO()):
+        if cli.main([file, "--dump", path, "--compression", "lz4"], spark):
+            raise RuntimeError("the loader has lost rows")
+    return _as_before(read_dump(spark, path), table(spark, d, "customer"))
