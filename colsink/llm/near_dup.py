@@ -257,3 +257,24 @@ def op3_minmax_near_dup(spark, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     out = near_dup(docs, NearDup(width=3, percent=85))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+#: What ``op3_minmax_near_dup`` returns: all pairs that share a shingle are compared, and links are followed from each document.
+OP3_SQL = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) END AS s FROM worded),
+classes AS (SELECT min(doc_id) AS id, list_sort(s) AS s FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)),
+members AS (SELECT x.doc_id, c.id FROM sets x JOIN classes c ON list_sort(x.s) = c.s),
+held AS (SELECT id, len(s) AS n, unnest(s) AS k FROM classes),
+pairs AS (
+    SELECT a.id AS a, b.id AS b FROM held a JOIN held b ON a.k = b.k AND a.id < b.id
+    GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (SELECT id AS a, id AS b FROM classes UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(l.component_id, s.doc_id) AS component_id, coalesce(l.component_id, s.doc_id) = s.doc_id AS kept
+FROM sets s LEFT JOIN members m ON m.doc_id = s.doc_id LEFT JOIN least l ON l.a = m.id
+"""

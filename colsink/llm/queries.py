@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from colsink.llm.byte_cnn import op10_byte_cnn
 from colsink.llm.image_copies import op1_image_copies
 from colsink.llm.mixing import op7_entropy_mix
-from colsink.llm.near_dup import op3_minmax_near_dup
+from colsink.llm.near_dup import OP3_SQL, op3_minmax_near_dup
 from colsink.llm.packing import op4_config_lp_packing
 from colsink.llm.pii import op9_checked_spans
 from colsink.llm.quality import OP2_SQL, op2_line_rules
@@ -33,4 +33,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_line_rules": OP2_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_line_rules": OP2_SQL, "op3_minmax_near_dup": OP3_SQL}

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from colsink.llm import pii, quality, secret_scan
-from colsink.llm.near_dup import NearDup, near_dup, op3_minmax_near_dup
+from colsink.llm.near_dup import OP3_SQL, NearDup, near_dup, op3_minmax_near_dup
 from colsink.llm.spans import digest, digest_text, masked
 from colsink.llm.shingles import shingle_sets
 
@@ -83,6 +83,17 @@ def test_near_dup_equals_brute_force(spark, how):
     assert sorted(map(tuple, found)) == brute_components(texts, how.width, how.percent)
 
 
+def test_near_dup_sql_equals_brute_force(spark, tmp_path):
+    import duckdb
+
+    texts = near_texts()
+    folder = table(spark, tmp_path, documents(spark, texts).coalesce(1))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    found = duck.sql(OP3_SQL).select("doc_id, n_shingles, component_id").fetchall()
+    assert sorted(found) == brute_components(texts, 3, 85)
+
+
 def test_near_dup_of_large_groups(spark):
     """Exact copies and lightly edited ones in numbers, with some beyond the threshold."""
     r = random.Random(9)
