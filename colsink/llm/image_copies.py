@@ -245,6 +245,17 @@ def _nearest(a: Features, b: Features, how: Copies) -> Iterator[tuple[np.ndarray
         yield near[i] + s, j
 
 
+def _bounded(blocks: Iterator[tuple[np.ndarray, np.ndarray]], most: int = 500_000) -> list[tuple[np.ndarray, np.ndarray]] | None:
+    """All blocks of matches, or None where they are too many to keep and must be matched again for each pass."""
+    kept, size = [], 0
+    for block in blocks:
+        kept.append(block)
+        size += len(block[0])
+        if size > most:
+            return None
+    return kept
+
+
 def _distinct(key: np.ndarray, corner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each pair once."""
     order = np.lexsort((corner, key))
@@ -271,8 +282,7 @@ def agreeing(a: Features, b: Features, how: Copies, least: float = 0) -> int:
     za, zb = a.x + 1j * a.y, b.x + 1j * b.y
     middle = (za.real.max() + za.real.min()) / 2 + 1j * (za.imag.max() + za.imag.min()) / 2
     za, reach = za - middle, float(np.abs(za - middle).max())
-    # one block is kept, more are matched again for each pass
-    kept = list(_nearest(a, b, how)) if len(a.y) * len(b.y) <= 4_000_000 else None
+    kept = _bounded(_nearest(a, b, how))
     matches = lambda: kept if kept is not None else _nearest(a, b, how)
     if sum(len(np.unique(i)) for i, _ in matches()) < max(least, 3):
         return 0
@@ -361,6 +371,15 @@ def _unpacked(place: np.ndarray, words: np.ndarray) -> Features:
     return Features(*parts, words.view(np.uint64).reshape(-1, BITS // 64))
 
 
+def _listed(place: pa.ListArray, words: pa.ListArray) -> Iterator[Features]:
+    """The features of each row; places are taken apart together."""
+    every = _unpacked(np.asarray(place.flatten()), np.asarray(words.flatten()))
+    starts = np.asarray(place.offsets)
+    starts = (starts - starts[0]).tolist()
+    for a, b in zip(starts[:-1], starts[1:]):
+        yield Features(every.y[a:b], every.x[a:b], every.scale[a:b], every.turn[a:b], every.words[a:b])
+
+
 def described(images: DataFrame, how: Copies, key: str, image: str) -> DataFrame:
     """(id, name, n, place, words) of each image; ``name`` is a digest of its bytes, null for no image.
 
@@ -389,8 +408,7 @@ def _confirmed(pairs: DataFrame, every: DataFrame, how: Copies) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for i in range(batch.num_rows):
-                p, q = (_unpacked(*(np.asarray(batch.column(f"{side}_{c}")[i].values) for c in ("place", "words"))) for side in "pq")
+            for p, q in zip(*(_listed(batch.column(f"{side}_place"), batch.column(f"{side}_words")) for side in "pq")):
                 p, q = (p, q) if len(p.y) <= len(q.y) else (q, p)
                 least = max(how.least_agreeing, how.least_share * len(p.y))
                 keep.append(agreeing(p, q, how, least) >= least)
