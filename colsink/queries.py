@@ -20,7 +20,7 @@ from colsink.operators.backref import distances, is_short
 from colsink.operators.batches import batch_numbers
 from colsink.plans.conversion import bind, convert, overflow_counts, plan
 from colsink.plans.types import TargetColumn, sql_type
-from colsink.sources import jdbc, scans, tables
+from colsink.sources import embedded, jdbc, scans, tables
 from colsink.sources.column_files import dump_metrics, read_dump, write_dump
 from colsink.streaming import stream_dump
 
@@ -539,10 +539,9 @@ def sorted_places(spark, d):
 
 
 def _store(spark: SparkSession) -> str:
-    """URL of a new embedded store. It lives in the driver's process, so the session must run in one."""
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("the embedded store needs a session of one process")
-    return f"jdbc:derby:memory:q{uuid.uuid4().hex};create=true"
+    """URL of a new embedded store: in memory where the session is one process, else a folder that its driver opens."""
+    at = "memory:" if embedded.one_process(spark) else f"{embedded.shared_folder(spark, 'tables')}/"
+    return f"jdbc:derby:{at}q{uuid.uuid4().hex};create=true"
 
 
 def _as_before(stored: DataFrame, df: DataFrame) -> DataFrame:

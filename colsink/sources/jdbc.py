@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from colsink.plans.conversion import plan
 from colsink.plans.types import TargetColumn, sql_type, spark_type, table_columns
-from colsink.sources import tables
+from colsink.sources import embedded, tables
 
 
 @dataclass(frozen=True)
@@ -24,6 +24,7 @@ class Store:
     limit: bool = True
     offset: bool = True
     cascades: bool = False
+    embedded: bool = False  # lives in the driver's process
 
     def handles(self, url: str) -> bool:
         return url.lower().startswith(self.prefixes)
@@ -35,7 +36,7 @@ class Store:
 
 #: The embedded engine that comes with Spark. It has no zoned timestamps; limits and offsets
 #: are left to Spark, as what is pushed down to it loses the limit.
-DERBY = Store(("jdbc:derby:",), "org.apache.derby.iapi.jdbc.AutoloadedDriver", {"TIMESTAMP WITH TIME ZONE": "TIMESTAMP"}, limit=False, offset=False)
+DERBY = Store(("jdbc:derby:",), "org.apache.derby.iapi.jdbc.AutoloadedDriver", {"TIMESTAMP WITH TIME ZONE": "TIMESTAMP"}, limit=False, offset=False, embedded=True)
 #: Any other server: standard types.
 STANDARD = Store(("jdbc:",))
 STORES: list[Store] = [DERBY, STANDARD]
@@ -49,6 +50,12 @@ def store_of(url: str) -> Store:
     raise ValueError(f"no store handles {url!r}")
 
 
+def _reachable(spark: SparkSession, url: str) -> str:
+    """The URL by which tasks read: of a copy, where the store's process is not theirs."""
+    alone = store_of(url).embedded and not embedded.one_process(spark) and not url.startswith("jdbc:derby:jar:")
+    return embedded.snapshot(spark, url) if alone else url
+
+
 def read(
     spark: SparkSession,
     url: str,
@@ -63,8 +70,9 @@ def read(
     ``types`` gives columns the Spark types of SQL ones (as a projection over the scan,
     so that filters and limits still reach the server). ``partition`` is (column, lower,
     upper, number): strides read in parallel. ``init`` runs at the start of each session.
+    Where tasks have other processes than an embedded store, they read it as it is now.
     """
-    store = store_of(url)
+    store, url = store_of(url), _reachable(spark, url)
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).option("fetchsize", fetch_size)
     reader = reader.option("pushDownLimit", store.limit).option("pushDownOffset", store.offset)
     if store.driver:
@@ -86,10 +94,10 @@ def probe(spark: SparkSession, url: str, table: str) -> list[TargetColumn] | Non
 
 
 def catalog(spark: SparkSession, name: str, url: str) -> None:
-    """Make a server's tables known to SQL as ``name.schema.table``."""
+    """Make a server's tables known to SQL as ``name.schema.table``; an embedded store's as ``read`` has them."""
     base = f"spark.sql.catalog.{name}"
     spark.conf.set(base, "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog")
-    store = store_of(url)
+    store, url = store_of(url), _reachable(spark, url)
     options = {"url": url, "pushDownLimit": store.limit, "pushDownOffset": store.offset} | ({"driver": store.driver} if store.driver else {})
     for option, value in options.items():
         spark.conf.set(f"{base}.{option}", str(value).lower() if isinstance(value, bool) else value)
@@ -130,5 +138,8 @@ def write(
         made = list(targets) if targets else table_columns(df.schema)
         ready = tables.prepare(conn, table, made, "overwrite" if mode == "overwrite" else "append", truncate, cascade, dict(store.types))
     out = plan(df, ready, null_on_overflow)
+    if store.embedded and not embedded.one_process(spark):
+        embedded.insert(out, url, table, store.driver, batch_size)
+        return
     writer = out.write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", batch_size)
     (writer.option("driver", store.driver) if store.driver else writer).mode("append").save()
