@@ -17,7 +17,8 @@ don't make all their pairs:
   in common and is a small part of each meets nobody there; what is a large part of them has linked
   them with the centre already. The filter loses no pair.
 
-Confirmation: each corner of the image with fewer of them is matched with all corners of
+Confirmation: pairs of which fewer corners match than a copy needs are left out first, by the descriptors alone;
+this loses no link. Each corner of the image with fewer of them is then matched with all corners of
 the other that are nearest by Hamming distance; each match proposes a scale, a turn and a
 shift. The proposals that most corners agree in are refined to a similarity by least squares, and the
 corners that follow it are counted. An edit may shift what follows it, so shifts of the same
@@ -39,7 +40,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colsink.llm.common import Scratch, read_table
@@ -402,6 +403,74 @@ def described(images: DataFrame, how: Copies, key: str, image: str) -> DataFrame
     return narrow.mapInArrow(run, "id long, name binary, n int, place array<long>, words array<long>")
 
 
+def _least(n: int, how: Copies) -> float:
+    """Corners that must agree, of the ``n`` that the smaller image has."""
+    return max(how.least_agreeing, how.least_share * n)
+
+
+def _met(few: np.ndarray, many: np.ndarray, how: Copies) -> int:
+    """How many of the descriptors ``few`` differ from one of ``many`` in ``most_bits`` at most; in blocks for long images."""
+    least = np.full(len(few), BITS, np.uint8)
+    step = max(1, 250_000 // max(1, len(few)))
+    for s in range(0, len(many), step):
+        bits = sum(np.bitwise_count(many[s : s + step, w, None] ^ few[:, w]) for w in range(BITS // 64))
+        np.minimum(least, bits.min(axis=0), out=least)
+    return int((least <= how.most_bits).sum())
+
+
+def _first_halves(few: np.ndarray, many: np.ndarray, how: Copies) -> np.ndarray:
+    """Which of the half descriptors ``few`` differ from one of ``many`` in ``most_bits`` at most."""
+    least = np.full(len(few), 64, np.uint8)
+    step = max(1, 250_000 // max(1, len(few)))
+    for s in range(0, len(many), step):
+        np.minimum(least, np.bitwise_count(many[s : s + step, None] ^ few).min(axis=0), out=least)
+    return least <= how.most_bits
+
+
+def possible(b: np.ndarray, p: tuple[np.ndarray, np.ndarray], q: tuple[np.ndarray, np.ndarray], how: Copies) -> np.ndarray:
+    """Which of these pairs have as many corners that match as a copy needs.
+
+    ``p`` and ``q`` are both sides' descriptors, and the places where each pair's begin and the last one's end;
+    ``b`` names the q side. Next to each other, pairs of one ``b`` are compared together by halves of descriptors
+    first: where these differ too much, the whole ones do.
+    """
+    (pw, ps), (qw, qs) = p, q
+    keep = np.zeros(len(b), bool)
+    runs = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1], [True]])) if len(b) else np.zeros(1, int)
+    half_p, half_q = np.ascontiguousarray(pw[:, 0]), np.ascontiguousarray(qw[:, 0])
+    for r, to in zip(runs[:-1].tolist(), runs[1:].tolist()):
+        many = qw[qs[r] : qs[r + 1]]
+        at, sizes = ps[r : to + 1] - ps[r], np.diff(ps[r : to + 1])
+        need = np.maximum(3, [_least(n, how) for n in np.minimum(sizes, len(many)).tolist()])
+        total = np.concatenate([[0], np.cumsum(_first_halves(half_p[ps[r] : ps[to]], half_q[qs[r] : qs[r + 1]], how))])
+        # of a larger p side this isn't the count that decides
+        for i in np.flatnonzero((total[at[1:]] - total[at[:-1]] >= need) | (sizes > len(many))).tolist():
+            one = pw[ps[r + i] : ps[r + i + 1]]
+            few, more = (one, many) if len(one) <= len(many) else (many, one)
+            keep[r + i] = _met(few, more, how) >= need[i]
+    return keep
+
+
+def _likely(pairs: DataFrame, classes: DataFrame, how: Copies, scratch: Scratch, label: str) -> DataFrame:
+    """(a, b) of pairs that have as many corners that match as a copy needs; for this, no places travel."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = []
+            for words in (batch.column("p"), batch.column("q")):
+                starts = np.asarray(words.offsets).astype(np.int64) // (BITS // 64)
+                sides.append((np.asarray(words.flatten()).view(np.uint64).reshape(-1, BITS // 64), starts - starts[0]))
+            mask = pa.array(possible(np.asarray(batch.column("b")), *sides, how), pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
+
+    near = scratch.keep(_of(classes.select("id", "words"), pairs), f"{label}-words")
+    p, q = (near.select(F.col("id").alias(to), F.col("words").alias(name)) for name, to in (("p", "a"), ("q", "b")))
+    both = pairs.join(p, "a").join(q, "b").select("a", "b", "p", "q")
+    out = scratch.keep(both.mapInArrow(run, "a long, b long"), f"{label}-likely")
+    scratch.drop(f"{label}-words")
+    return out
+
+
 def _confirmed(pairs: DataFrame, every: DataFrame, how: Copies) -> DataFrame:
     """(a, b) of pairs that are copies by their corners."""
 
@@ -410,7 +479,7 @@ def _confirmed(pairs: DataFrame, every: DataFrame, how: Copies) -> DataFrame:
             keep = []
             for p, q in zip(*(_listed(batch.column(f"{side}_place"), batch.column(f"{side}_words")) for side in "pq")):
                 p, q = (p, q) if len(p.y) <= len(q.y) else (q, p)
-                least = max(how.least_agreeing, how.least_share * len(p.y))
+                least = _least(len(p.y), how)
                 keep.append(agreeing(p, q, how, least) >= least)
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
@@ -430,12 +499,14 @@ def find_copies(images: DataFrame, how: Copies = Copies(), key: str = "id", imag
     scratch = Scratch(images.sparkSession, "images")
     every = scratch.keep(described(images, how, key, image), "described")
 
-    # the smallest id stands for its class of equal images
-    named = every.where("name IS NOT NULL AND id IS NOT NULL").select("name", "id")
+    # the smallest id stands for its class of equal images; features are kept of these alone
+    listed = scratch.keep(every.select("id", "name", "n"), "listed")
+    named = listed.where("name IS NOT NULL AND id IS NOT NULL").select("name", "id")
     least = scratch.keep(named.distinct().groupBy("name").agg(F.min("id").alias("b"), F.max("id").alias("top")), "classes")
     equal = named.join(least.where("b < top"), "name").where("id != b").select(F.col("id").alias("a"), "b")
     classes = every.where(F.col("n") >= how.least_agreeing).join(least.select("name", F.col("b").alias("id")), ["name", "id"], "left_semi")
-    classes = classes.dropDuplicates(["id", "name"])
+    classes = scratch.keep(classes.dropDuplicates(["id", "name"]).select("id", "place", "words"), "features")
+    scratch.drop("described")
 
     # words that more than one class has, with their classes; an image's own words are told apart in its row
     def cut(word: Column, at: Column) -> Column:
@@ -447,8 +518,8 @@ def find_copies(images: DataFrame, how: Copies = Copies(), key: str = "id", imag
 
     own = classes.select("id", F.array_distinct(F.flatten(F.transform("words", cut))).alias("keys"))
     held = own.select("id", F.size("keys").cast("int").alias("n"), F.explode("keys").alias("key"))
-    common = held.groupBy("key").agg(F.count(F.lit(1)).cast("int").alias("f")).where("f > 1")
-    shared = scratch.keep(held.join(common, "key"), "shared")
+    images_of = F.count(F.lit(1)).over(Window.partitionBy("key")).cast("int")
+    shared = scratch.keep(held.withColumn("f", images_of).where("f > 1"), "shared")
 
     def least_of(n: Column) -> Column:
         """Words that a pair must share, from the smaller one's number."""
@@ -458,9 +529,11 @@ def find_copies(images: DataFrame, how: Copies = Copies(), key: str = "id", imag
     centres = shared.groupBy("key").agg(F.min(F.struct("n", "id")).alias("c")).select("key", F.col("c.id").alias("b"), F.col("c.n").alias("m"))
     first = shared.join(centres, "key").where("id != b").groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("votes"), F.min(F.least("n", "m")).alias("n"))
     first = scratch.keep(first.where(F.col("votes") >= least_of(F.col("n"))).select("a", "b"), "first-pairs")
-    links = scratch.keep(_confirmed(first, _features(classes, first, scratch, "first"), how), "first")
-    scratch.drop("first-near")
+    likely = _likely(first, classes, how, scratch, "first")
     scratch.drop("first-pairs")
+    links = scratch.keep(_confirmed(likely, _features(classes, likely, scratch, "first"), how), "first")
+    scratch.drop("first-near")
+    scratch.drop("first-likely")
     labels = components(links, scratch, "first-groups")
 
     # then what is still apart, by prefixes of the image that has fewer words; its words are put in order in one row
@@ -476,20 +549,27 @@ def find_copies(images: DataFrame, how: Copies = Copies(), key: str = "id", imag
     on = (F.col("p.key") == F.col("q.key")) & (F.col("p.c") != F.col("q.c")) & (F.struct("p.n", "p.id") < F.struct("q.n", "q.id"))
     met = p.join(q, on).groupBy(F.col("p.id").alias("a"), F.col("q.id").alias("b")).agg(F.count(F.lit(1)).alias("votes"), F.min("p.half").alias("half"))
     rest = scratch.keep(met.where("votes >= half").select("a", "b"), "rest-pairs")
-    more = scratch.keep(_confirmed(rest, _features(classes, rest, scratch, "rest"), how), "rest")
-    scratch.drop("rest-near")
-    scratch.drop("rest-pairs")
     scratch.drop("apart")
+    likely = _likely(rest, classes, how, scratch, "rest")
+    scratch.drop("rest-pairs")
+    more = scratch.keep(_confirmed(likely, _features(classes, likely, scratch, "rest"), how), "rest")
+    scratch.drop("rest-near")
+    scratch.drop("rest-likely")
 
     groups = components(links.union(more).union(equal), scratch, "copies")
-    out = every.select("id", "n").join(groups, "id", "left")
+    out = listed.select("id", "n").join(groups, "id", "left")
     return out.select("id", F.col("n").alias("n_corners"), F.coalesce("component", "id").alias("component_id"))
 
 
+def _of(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows of the images that are in a pair."""
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    return rows.join(ids, "id", "left_semi")
+
+
 def _features(classes: DataFrame, pairs: DataFrame, scratch: Scratch, label: str) -> DataFrame:
     """(id, place, words) of the images that are in a pair."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    return scratch.keep(classes.select("id", "place", "words").join(ids, "id", "left_semi"), f"{label}-near")
+    return scratch.keep(_of(classes.select("id", "place", "words"), pairs), f"{label}-near")
 
 
 # pictures of pages

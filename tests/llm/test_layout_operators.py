@@ -584,6 +584,27 @@ def test_grey_maps():
     assert image_copies.from_pgm(b"P6 1 1 255\nabc") is None and image_copies.from_pgm(None) is None and image_copies.page_picture("") is None
 
 
+def test_pairs_with_too_few_corners_that_match_go_first():
+    r, how = np.random.default_rng(5), image_copies.Copies(most_bits=16)
+    common = r.integers(0, 1 << 63, (40, 2), np.uint64)
+    images = []
+    for n in [0, 1, 5, 6, 7, 20, 35, 60, 90, 20, 8]:
+        own, some = r.integers(0, 1 << 63, (n, 2), np.uint64), r.random(n) < r.random()
+        own[some] = common[r.integers(0, 40, some.sum())] ^ np.uint64(1) << r.integers(0, 63, (some.sum(), 2)).astype(np.uint64)
+        images.append(image_copies.Features(*[np.zeros(n, np.int64)] * 4, own))
+    pairs = [(a, b) for b in range(11) for a in range(11)]
+    sides = [[images[x].words for x in side] for side in zip(*pairs)]
+    p, q = ((np.concatenate(s), np.cumsum([0, *map(len, s)])) for s in sides)
+    expected = []
+    for a, b in pairs:
+        few, many = sorted((images[a], images[b]), key=lambda f: len(f.y))
+        met = sum(len(np.unique(i)) for i, _ in image_copies._nearest(few, many, how)) if len(few.y) else 0
+        expected.append(met >= max(how.least_agreeing, how.least_share * len(few.y)))
+    assert image_copies.possible(np.array([b for _, b in pairs]), p, q, how).tolist() == expected
+    assert 10 < sum(expected) < 100
+    assert image_copies.possible(np.empty(0, np.int64), (p[0][:0], p[1][:1]), (q[0][:0], q[1][:1]), how).tolist() == []
+
+
 def test_page_copies(spark, tmp_path):
     r = random.Random(1)
     body, other = prose(r, 600), prose(r, 600)
