@@ -237,13 +237,18 @@ def features(images: list[np.ndarray | None], how: Copies) -> list[Features]:
 
 def _nearest(a: Features, b: Features, how: Copies) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(corners of a, corners of b) nearest to them, ties included, in blocks of ``a`` for long images."""
-    step = max(1, 1_000_000 // len(b.y))
+    step, part = max(1, 1_000_000 // len(b.y)), max(1, 60_000 // len(b.y))
+    columns = [np.ascontiguousarray(b.words[:, w]) for w in range(BITS // 64)]
     for s in range(0, len(a.y), step):
-        bits = sum(np.bitwise_count(a.words[s : s + step, w, None] ^ b.words[None, :, w]) for w in range(BITS // 64))
-        least = bits.min(axis=1)
-        near = np.flatnonzero(least <= how.most_bits)
-        i, j = np.nonzero(bits[near] == least[near, None])
-        yield near[i] + s, j
+        found = []
+        for r in range(s, min(s + step, len(a.y)), part):  # what a processor's cache holds
+            words = a.words[r : min(r + part, s + step)]
+            bits = sum(np.bitwise_count(words[:, w, None] ^ column) for w, column in enumerate(columns))
+            least = bits.min(axis=1)
+            near = np.flatnonzero(least <= how.most_bits)
+            i, j = np.divmod(np.flatnonzero(bits[near] == least[near, None]), len(b.y))
+            found.append((near[i] + r, j))
+        yield tuple(np.concatenate(c) for c in zip(*found))
 
 
 def _bounded(blocks: Iterator[tuple[np.ndarray, np.ndarray]], most: int = 500_000) -> list[tuple[np.ndarray, np.ndarray]] | None:
@@ -254,11 +259,28 @@ def _bounded(blocks: Iterator[tuple[np.ndarray, np.ndarray]], most: int = 500_00
         size += len(block[0])
         if size > most:
             return None
-    return kept
+    return [tuple(np.concatenate(c) for c in zip(*kept))]
 
 
 def _distinct(key: np.ndarray, corner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each pair once."""
+    """Each pair once, in order."""
+    if len(key):
+        # in as many bits as the fields span, a pair is one number
+        low = (1 << 25) - 1
+        fields = [key >> 50, key >> 25 & low, key & low, corner]
+        least = [int(f.min()) for f in fields]
+        widths = [(int(f.max()) - lo).bit_length() for f, lo in zip(fields, least)]
+        if sum(widths) < 63:
+            both = fields[0] - least[0]
+            for f, lo, width in zip(fields[1:], least[1:], widths[1:]):
+                both = both << width | (f - lo)
+            both.sort()
+            both = both[np.concatenate([[True], both[1:] != both[:-1]])]
+            out = []
+            for lo, width in zip(least[::-1], widths[::-1]):
+                out.append((both & ((1 << width) - 1)) + lo)
+                both = both >> width
+            return (out[3] << 50) + (out[2] << 25) + out[1], out[0]
     order = np.lexsort((corner, key))
     key, corner = key[order], corner[order]
     new = np.ones(len(key), bool)
@@ -284,37 +306,35 @@ def agreeing(a: Features, b: Features, how: Copies, least: float = 0) -> int:
     middle = (za.real.max() + za.real.min()) / 2 + 1j * (za.imag.max() + za.imag.min()) / 2
     za, reach = za - middle, float(np.abs(za - middle).max())
     kept = _bounded(_nearest(a, b, how))
-    matches = lambda: kept if kept is not None else _nearest(a, b, how)
-    if sum(len(np.unique(i)) for i, _ in matches()) < max(least, 3):
-        return 0
     pose = lambda i, j: (b.scale[j] - a.scale[i], (b.turn[j] - a.turn[i]) % TURNS)
+    posed = [(i, j, *pose(i, j)) for i, j in kept] if kept is not None else None
+    matches = lambda: posed if posed is not None else ((i, j, *pose(i, j)) for i, j in _nearest(a, b, how))
+    if sum(len(np.unique(i)) for i, *_ in matches()) < max(least, 3):
+        return 0
 
     # no pose within the bounds of the last count has enough matches
     if least:
         by_pose = np.zeros((65, TURNS), np.int64)
-        for i, j in matches():
-            ratio, turn = pose(i, j)
-            np.add.at(by_pose, (ratio + 32, turn), 1)
+        for _, _, ratio, turn in matches():
+            by_pose += np.bincount((ratio + 32) * TURNS + turn, minlength=by_pose.size).reshape(by_pose.shape)
         by_pose = sum(np.roll(by_pose, k, axis=1) for k in range(-2, 3))
         if (by_pose + np.roll(by_pose, 1, axis=0) + np.roll(by_pose, -1, axis=0)).max() < least:
             return 0
 
     # windows of two turns, and of two scales where these lie close, count the corners of coarse shifts
-    def proposals(i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        ratio, turn = pose(i, j)
-        for lower in (0, 1):
-            for less in (0, 1) if how.octave > 1 else (0,):
-                k, r = (turn - lower) % TURNS, ratio - less
-                grow = 2.0 ** ((r + (how.octave > 1) / 2) / how.octave)
-                shift = zb[j] - grow * np.exp(2j * np.pi * (k + 0.5) / TURNS) * za[i]
-                size = np.maximum(2 * how.shift, 0.25 * grow * reach)
-                for half in (0, 1):
-                    yield ((r + 32) * TURNS + k << 51) + (half << 50) + _cells(shift, size, half), i
+    grows = 2.0 ** ((np.arange(-33, 33) + (how.octave > 1) / 2) / how.octave)
+    turned = np.exp(2j * np.pi * (np.arange(TURNS) + 0.5) / TURNS)
+    linears, sizes = grows[:, None] * turned, np.maximum(2 * how.shift, 0.25 * grows * reach)
 
     def proposed() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        for i, j in matches():
-            for key, _ in proposals(i, j):
-                yield key, i, j
+        for i, j, ratio, turn in matches():
+            from_a, from_b = za[i], zb[j]
+            for lower in (0, 1):
+                for less in (0, 1) if how.octave > 1 else (0,):
+                    k, r = (turn - lower) % TURNS, ratio - less
+                    shift, size = from_b - linears[r + 33, k] * from_a, sizes[r + 33]
+                    for half in (0, 1):
+                        yield ((r + 32) * TURNS + k << 51) + (half << 50) + _cells(shift, size, half), i, j
 
     told = list(proposed()) if kept is not None else None
     offered = lambda: told if told is not None else proposed()
@@ -323,17 +343,22 @@ def agreeing(a: Features, b: Features, how: Copies, least: float = 0) -> int:
         new, more = np.unique(_distinct(key, i)[0], return_counts=True)
         names, at = np.unique(np.concatenate([names, new]), return_inverse=True)
         counts = np.bincount(at, np.concatenate([counts, more]), len(names)).astype(np.int64)
+
+    def places(name: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for key, i, j in offered():
+            mine = np.flatnonzero(key == name)
+            yield za[i[mine]], zb[j[mine]]
+
     most = 0
     for name in names[np.lexsort((names, -counts))[:3]]:
         if least and most >= least:
             break
         # least squares over the proposal's matches, then over those near its result
         linear, shift, within = None, 0j, np.inf
+        chosen = list(places(name)) if told is not None else None
         for within in (np.inf, 4 * how.shift, 2 * how.shift):
             n, sums = 0, np.zeros(4, complex)
-            for key, i, j in offered():
-                mine = key == name
-                p, q = za[i[mine]], zb[j[mine]]
+            for p, q in chosen if chosen is not None else places(name):
                 if linear is not None:
                     close = np.abs(q - linear * p - shift) <= within
                     p, q = p[close], q[close]
@@ -347,12 +372,12 @@ def agreeing(a: Features, b: Features, how: Copies, least: float = 0) -> int:
         if linear is None or abs(linear) < 1e-3:
             continue
         angle, grown = np.angle(linear) * TURNS / (2 * np.pi), np.log2(abs(linear)) * how.octave
+        fitting: list[tuple[np.ndarray, np.ndarray]] = []
+        for i, j, ratio, turn in matches():
+            fits = np.flatnonzero((np.abs(ratio - grown) <= 1) & (np.abs((turn - angle + TURNS / 2) % TURNS - TURNS / 2) <= 2))
+            fitting.append((zb[j[fits]] - linear * za[i[fits]], i[fits]))
         for half in (0, 1):
-            found: list[tuple[np.ndarray, np.ndarray]] = []
-            for i, j in matches():
-                ratio, turn = pose(i, j)
-                fits = (np.abs(ratio - grown) <= 1) & (np.abs((turn - angle + TURNS / 2) % TURNS - TURNS / 2) <= 2)
-                found.append(_distinct(_cells(zb[j[fits]] - linear * za[i[fits]], how.shift, half), i[fits]))
+            found = [_distinct(_cells(rest, how.shift, half), i) for rest, i in fitting]
             key, corner = (np.concatenate(c) for c in zip(*found))
             cells, at, each = np.unique(key, return_inverse=True, return_counts=True)
             most = max(most, len(np.unique(corner[each[at] >= 3])))
@@ -372,15 +397,6 @@ def _unpacked(place: np.ndarray, words: np.ndarray) -> Features:
     return Features(*parts, words.view(np.uint64).reshape(-1, BITS // 64))
 
 
-def _listed(place: pa.ListArray, words: pa.ListArray) -> Iterator[Features]:
-    """The features of each row; places are taken apart together."""
-    every = _unpacked(np.asarray(place.flatten()), np.asarray(words.flatten()))
-    starts = np.asarray(place.offsets)
-    starts = (starts - starts[0]).tolist()
-    for a, b in zip(starts[:-1], starts[1:]):
-        yield Features(every.y[a:b], every.x[a:b], every.scale[a:b], every.turn[a:b], every.words[a:b])
-
-
 def described(images: DataFrame, how: Copies, key: str, image: str) -> DataFrame:
     """(id, name, n, place, words) of each image; ``name`` is a digest of its bytes, null for no image.
 
@@ -411,9 +427,10 @@ def _least(n: int, how: Copies) -> float:
 def _met(few: np.ndarray, many: np.ndarray, how: Copies) -> int:
     """How many of the descriptors ``few`` differ from one of ``many`` in ``most_bits`` at most; in blocks for long images."""
     least = np.full(len(few), BITS, np.uint8)
-    step = max(1, 250_000 // max(1, len(few)))
+    columns = [np.ascontiguousarray(few[:, w]) for w in range(BITS // 64)]
+    step = max(1, 60_000 // max(1, len(few)))
     for s in range(0, len(many), step):
-        bits = sum(np.bitwise_count(many[s : s + step, w, None] ^ few[:, w]) for w in range(BITS // 64))
+        bits = sum(np.bitwise_count(many[s : s + step, w, None] ^ column) for w, column in enumerate(columns))
         np.minimum(least, bits.min(axis=0), out=least)
     return int((least <= how.most_bits).sum())
 
@@ -421,7 +438,7 @@ def _met(few: np.ndarray, many: np.ndarray, how: Copies) -> int:
 def _first_halves(few: np.ndarray, many: np.ndarray, how: Copies) -> np.ndarray:
     """Which of the half descriptors ``few`` differ from one of ``many`` in ``most_bits`` at most."""
     least = np.full(len(few), 64, np.uint8)
-    step = max(1, 250_000 // max(1, len(few)))
+    step = max(1, 60_000 // max(1, len(few)))
     for s in range(0, len(many), step):
         np.minimum(least, np.bitwise_count(many[s : s + step, None] ^ few).min(axis=0), out=least)
     return least <= how.most_bits
@@ -451,41 +468,27 @@ def possible(b: np.ndarray, p: tuple[np.ndarray, np.ndarray], q: tuple[np.ndarra
     return keep
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, how: Copies, scratch: Scratch, label: str) -> DataFrame:
-    """(a, b) of pairs that have as many corners that match as a copy needs; for this, no places travel."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides = []
-            for words in (batch.column("p"), batch.column("q")):
-                starts = np.asarray(words.offsets).astype(np.int64) // (BITS // 64)
-                sides.append((np.asarray(words.flatten()).view(np.uint64).reshape(-1, BITS // 64), starts - starts[0]))
-            mask = pa.array(possible(np.asarray(batch.column("b")), *sides, how), pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
-
-    near = scratch.keep(_of(classes.select("id", "words"), pairs), f"{label}-words")
-    p, q = (near.select(F.col("id").alias(to), F.col("words").alias(name)) for name, to in (("p", "a"), ("q", "b")))
-    both = pairs.join(p, "a").join(q, "b").select("a", "b", "p", "q")
-    out = scratch.keep(both.mapInArrow(run, "a long, b long"), f"{label}-likely")
-    scratch.drop(f"{label}-words")
-    return out
-
-
-def _confirmed(pairs: DataFrame, every: DataFrame, how: Copies) -> DataFrame:
+def _confirmed(pairs: DataFrame, classes: DataFrame, how: Copies) -> DataFrame:
     """(a, b) of pairs that are copies by their corners."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for p, q in zip(*(_listed(batch.column(f"{side}_place"), batch.column(f"{side}_words")) for side in "pq")):
+            sides = []
+            for side in "pq":
+                starts = np.asarray(batch.column(f"{side}_place").offsets).astype(np.int64)
+                words = np.asarray(batch.column(f"{side}_words").flatten()).view(np.uint64).reshape(-1, BITS // 64)
+                sides.append((np.asarray(batch.column(f"{side}_place").flatten()), words, starts - starts[0]))
+            keep = possible(np.asarray(batch.column("b")), *((words, starts) for _, words, starts in sides), how)
+            for k in np.flatnonzero(keep).tolist():
+                p, q = (_unpacked(place[starts[k] : starts[k + 1]], words[starts[k] : starts[k + 1]]) for place, words, starts in sides)
                 p, q = (p, q) if len(p.y) <= len(q.y) else (q, p)
                 least = _least(len(p.y), how)
-                keep.append(agreeing(p, q, how, least) >= least)
+                keep[k] = agreeing(p, q, how, least) >= least
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
 
     def side(name: str, to: str) -> DataFrame:
-        return every.select(F.col("id").alias(to), F.col("place").alias(f"{name}_place"), F.col("words").alias(f"{name}_words"))
+        return classes.select(F.col("id").alias(to), F.col("place").alias(f"{name}_place"), F.col("words").alias(f"{name}_words"))
 
     both = pairs.join(side("p", "a"), "a").join(side("q", "b"), "b").select("a", "b", "p_place", "p_words", "q_place", "q_words")
     return both.mapInArrow(run, "a long, b long").distinct()
@@ -529,11 +532,8 @@ def find_copies(images: DataFrame, how: Copies = Copies(), key: str = "id", imag
     centres = shared.groupBy("key").agg(F.min(F.struct("n", "id")).alias("c")).select("key", F.col("c.id").alias("b"), F.col("c.n").alias("m"))
     first = shared.join(centres, "key").where("id != b").groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("votes"), F.min(F.least("n", "m")).alias("n"))
     first = scratch.keep(first.where(F.col("votes") >= least_of(F.col("n"))).select("a", "b"), "first-pairs")
-    likely = _likely(first, classes, how, scratch, "first")
+    links = scratch.keep(_confirmed(first, classes, how), "first")
     scratch.drop("first-pairs")
-    links = scratch.keep(_confirmed(likely, _features(classes, likely, scratch, "first"), how), "first")
-    scratch.drop("first-near")
-    scratch.drop("first-likely")
     labels = components(links, scratch, "first-groups")
 
     # then what is still apart, by prefixes of the image that has fewer words; its words are put in order in one row
@@ -550,28 +550,14 @@ def find_copies(images: DataFrame, how: Copies = Copies(), key: str = "id", imag
     met = p.join(q, on).groupBy(F.col("p.id").alias("a"), F.col("q.id").alias("b")).agg(F.count(F.lit(1)).alias("votes"), F.min("p.half").alias("half"))
     rest = scratch.keep(met.where("votes >= half").select("a", "b"), "rest-pairs")
     scratch.drop("apart")
-    likely = _likely(rest, classes, how, scratch, "rest")
+    more = scratch.keep(_confirmed(rest, classes, how), "rest")
     scratch.drop("rest-pairs")
-    more = scratch.keep(_confirmed(likely, _features(classes, likely, scratch, "rest"), how), "rest")
-    scratch.drop("rest-near")
-    scratch.drop("rest-likely")
 
     groups = components(links.union(more).union(equal), scratch, "copies")
     out = listed.select("id", "n").join(groups, "id", "left")
     return out.select("id", F.col("n").alias("n_corners"), F.coalesce("component", "id").alias("component_id"))
 
 
-def _of(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The rows of the images that are in a pair."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    return rows.join(ids, "id", "left_semi")
-
-
-def _features(classes: DataFrame, pairs: DataFrame, scratch: Scratch, label: str) -> DataFrame:
-    """(id, place, words) of the images that are in a pair."""
-    return scratch.keep(_of(classes.select("id", "place", "words"), pairs), f"{label}-near")
-
-
 # pictures of pages
 
 #: Ink of a character by a fixed rule; a space has none.
